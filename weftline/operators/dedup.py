@@ -8,13 +8,16 @@ in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import sketch, text as T
+from weftline.operators.rank import top_per_group
 from weftline.session import cut, staged
 
-HOT_BUCKET = 64  # members above which a bucket is divided further
+LEADERS = 16  # rows per bucket that the others are compared with in one round
 
 
 def keep_first(df: DataFrame, key, order_by: str, scope=None) -> DataFrame:
@@ -69,16 +72,15 @@ def shared_only(members: DataFrame) -> DataFrame:
     return members.join(counts.select("key"), "key", "left_semi")
 
 
-def divide_hot(members: DataFrame, features: DataFrame, threshold: float,
-               hot: int = HOT_BUCKET) -> DataFrame:
-    """Split each large bucket without losing a pair at or above the Jaccard threshold.
+def divide(members: DataFrame, features: DataFrame, threshold: float, above: int = LEADERS) -> DataFrame:
+    """Split each bucket of more than `above` rows without losing a pair at or above the threshold.
 
     Sets of size n that reach the threshold t with another set share at least one of their first
     n - ceil(t n) + 1 words in any common order. Ordering a bucket's words from rare to frequent
     puts shared boilerplate last, so members that only share boilerplate part ways.
     """
     counts = members.groupBy("key").agg(F.count("*").alias("n"))
-    large = cut(counts.where(F.col("n") > hot).select("key"))
+    large = cut(counts.where(F.col("n") > above).select("key"))
     if large.isEmpty():
         return members
     small = members.join(large, "key", "left_anti").select("ord", "key")
@@ -88,46 +90,67 @@ def divide_hot(members: DataFrame, features: DataFrame, threshold: float,
     ranked = worded.join(often, ["key", "word"]).groupBy("key", "ord", "size").agg(
         F.array_sort(F.collect_list(F.struct("df", "word"))).alias("words"))
     prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9).cast("int") + 1
-    divided = ranked.select("ord", "key", F.explode(F.slice("words", F.lit(1), prefix)).alias("w")).select(
-        "ord", F.xxhash64("key", "w.word").alias("key"))
-    return small.unionByName(divided).distinct()
+    split = ranked.select("ord", "key", F.explode(F.slice("words", F.lit(1), prefix)).alias("w")).where(
+        "w.df > 1").select("ord", F.xxhash64("key", "w.word").alias("key"))
+    return small.unionByName(split).distinct()
+
+
+def _verified(pairs: DataFrame, features: DataFrame, similar) -> DataFrame:
+    """(lead, ord, score) of the pairs that are similar."""
+    return (
+        pairs.join(features.select(F.col("ord").alias("lead"), F.col("feature").alias("_a")), "lead")
+        .join(features.select("ord", F.col("feature").alias("_b")), "ord")
+        .select("lead", "ord", similar(F.col("_a"), F.col("_b")).alias("score"))
+        .where("score IS NOT NULL")
+    )
 
 
-def keep_first_similar(members: DataFrame, features: DataFrame, similar) -> DataFrame:
+def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=None,
+                       leaders: int = LEADERS) -> DataFrame:
     """(ord, kept_ord, score) for each row that an earlier surviving row makes redundant.
 
     Equal to walking the rows in order and dropping each one that shares a bucket with, and is
-    similar to, an earlier row that was kept. A round settles every row that is the earliest open
-    one in all its buckets: it is kept, and the open rows of those buckets are compared with it
-    alone. So a bucket of n copies costs n comparisons, not n squared.
-
-    members (ord, key), features (ord, feature), similar(a, b) -> score or NULL.
+    similar to, an earlier row that was kept. In a round the first few open rows of every bucket
+    lead it and the bucket's other rows are compared with them alone, so a bucket of n copies costs
+    n comparisons and not n squared. A row that leads all its buckets has met every earlier open
+    row, so its fate follows from the similar pairs found. Rounds go on until no bucket is open.
+
+    members (ord, key), features (ord, feature), similar(a, b) -> score or NULL. The first round,
+    with one leader, settles the copies; then refine(members) may split the buckets of the rows
+    left over as long as similar rows stay together.
     """
-    open_ = cut(shared_only(members))
-    dropped = None
+    open_, dropped, lead_count = cut(shared_only(members)), [], 1
     while not open_.isEmpty():
-        lead = open_.groupBy("key").agg(F.min("ord").alias("lead"), F.count("*").alias("n")).where("n > 1")
-        led = open_.join(lead.select("key", "lead"), "key")
-        waiting = led.where("ord <> lead").select("ord").distinct()
-        kept = lead.select("lead").distinct().join(
-            waiting.withColumnRenamed("ord", "lead"), "lead", "left_anti")
-        pairs = led.where("ord <> lead").select("ord", "lead").distinct().join(kept, "lead", "left_semi")
-        scored = (
-            pairs.join(features.select(F.col("ord").alias("lead"), F.col("feature").alias("_a")), "lead")
-            .join(features.select("ord", F.col("feature").alias("_b")), "ord")
-            .select("ord", "lead", similar(F.col("_a"), F.col("_b")).alias("score"))
-            .where("score IS NOT NULL")
-        )
-        # several kept rows may settle the same row in one round; the earliest one is named
-        gone = cut(scored.groupBy("ord").agg(F.min(F.struct("lead", "score")).alias("by")).select(
-            "ord", F.col("by.lead").alias("kept_ord"), F.col("by.score").alias("score")))
-        settled = gone.select("ord").unionByName(kept.select(F.col("lead").alias("ord")))
-        dropped = gone if dropped is None else dropped.unionByName(gone)
-        # rows alone in all their buckets drop out here as well
-        open_ = cut(led.select("ord", "key").join(settled, "ord", "left_anti"))
-    return dropped if dropped is not None else features.sparkSession.createDataFrame(
-        [], f"ord {features.schema['ord'].dataType.simpleString()}, "
-            f"kept_ord {features.schema['ord'].dataType.simpleString()}, score double")
+        first = top_per_group(open_, "key", "ord", lead_count, "ord")
+        led = first.groupBy("ord").agg(F.count("*").alias("led"))
+        buckets = open_.groupBy("ord").agg(F.count("*").alias("all"))
+        covered = cut(led.join(buckets, "ord").where("led = all").select("ord"))
+        pairs = open_.join(first.select("key", F.col("ord").alias("lead")), "key").where("lead < ord")
+        edges = cut(_verified(pairs.select("lead", "ord").distinct(), features, similar))
+        settled = covered
+        while True:
+            heads = edges.select(F.col("lead").alias("ord")).distinct().join(
+                covered, "ord", "left_semi").join(edges.select("ord"), "ord", "left_anti")
+            gone = cut(
+                edges.join(heads.withColumnRenamed("ord", "lead"), "lead", "left_semi")
+                .groupBy("ord").agg(F.min(F.struct("lead", "score")).alias("by"))
+                .select("ord", F.col("by.lead").alias("kept_ord"), F.col("by.score").alias("score")))
+            if gone.isEmpty():
+                break
+            dropped.append(gone)
+            settled = settled.unionByName(gone.select("ord"))
+            edges = cut(edges.join(gone, "ord", "left_anti").join(
+                gone.select(F.col("ord").alias("lead")), "lead", "left_anti"))
+        # covered rows still waiting for the fate of an uncovered one stay open
+        settled = settled.join(edges.select("ord"), "ord", "left_anti")
+        open_ = cut(shared_only(open_.join(settled, "ord", "left_anti")))
+        lead_count = leaders
+        if refine is not None and not open_.isEmpty():
+            open_, refine = cut(shared_only(refine(open_))), None
+    if not dropped:
+        kind = features.schema["ord"].dataType.simpleString()
+        return features.sparkSession.createDataFrame([], f"ord {kind}, kept_ord {kind}, score double")
+    return reduce(DataFrame.unionByName, dropped)
 
 
 def jaccard(a, b):
@@ -157,9 +180,8 @@ def lsh_candidates(df: DataFrame, order_by: str = "id", bands: int = 9, rows: in
     )
 
 
-def near_dup_pairs(df: DataFrame, threshold: float = 0.8, preset: str = "balanced",
-                   order_by: str = "id", col: str = "content", max_words: int | None = None,
-                   hot: int = HOT_BUCKET) -> DataFrame:
+def near_dup_pairs(df: DataFrame, threshold: float = 0.8, preset: str = "recall",
+                   order_by: str = "id", col: str = "content", max_words: int | None = None) -> DataFrame:
     """(a, b, jaccard): each redundant document b with the surviving earlier document a.
 
     Documents are walked in order; b is redundant when its word set reaches the threshold with that
@@ -172,8 +194,8 @@ def near_dup_pairs(df: DataFrame, threshold: float = 0.8, preset: str = "balance
     features = staged(
         df.select(F.col(order_by).alias("ord"), F.col(col)).join(wanted, "ord", "left_semi")
         .select("ord", sketch.word_set(col, max_words).alias("feature")), "wordsets")
-    gone = keep_first_similar(divide_hot(members, features, threshold, hot), features,
-                              _similar_sets(threshold))
+    gone = keep_first_similar(members, features, _similar_sets(threshold),
+                              lambda open_: divide(open_, features, threshold))
     near = gone.select(F.col("kept_ord").alias("a"), F.col("ord").alias("b"), F.col("score").alias("jaccard"))
     same = keyed.groupBy("set_hash").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = keyed.select("ord", "set_hash").join(same, "set_hash").where("ord <> first")
@@ -183,7 +205,7 @@ def near_dup_pairs(df: DataFrame, threshold: float = 0.8, preset: str = "balance
     return near.unionByName(copied)
 
 
-def dedup_lsh(df: DataFrame, order_by: str = "id", threshold: float = 0.8, preset: str = "balanced",
+def dedup_lsh(df: DataFrame, order_by: str = "id", threshold: float = 0.8, preset: str = "recall",
               col: str = "content", max_words: int | None = None) -> DataFrame:
     """Without the documents near_dup_pairs finds redundant."""
     pairs = near_dup_pairs(df, threshold, preset, order_by, col, max_words)

@@ -13,7 +13,7 @@ CUT = "CAST(doc_id AS VARCHAR) AS id"
 
 
 def profiles(t):
-    return language.load_profiles(language.fit_language_profiles(t.documents))
+    return language.load_profiles(language.fit_language_profiles(t.texts))
 
 
 # -- filters --------------------------------------------------------------------------------------
@@ -25,11 +25,11 @@ for _name, _fn, _test in (
     ("page_min_content", filters.page_min_content, ">= 100"),
 ):
     query(_name, f"SELECT doc_id FROM documents WHERE length({C.strip('text')}) {_test}")(
-        lambda t, fn=_fn: fn(t.documents, "text").select("doc_id"))
+        lambda t, fn=_fn: fn(t.texts, "text").select("doc_id"))
 
 
 def detected(t):
-    return language.detect_language(t.documents, profiles(t), "text")
+    return language.detect_language(t.texts, profiles(t), "text")
 
 
 @query("filter_language", "SELECT doc_id FROM documents WHERE lang IN ('en', 'zh', 'fr', 'ja', 'ko', 'ru')")
@@ -44,7 +44,7 @@ def _(t):
 
 @query("filter_quality", f"WITH {C.SCORED} SELECT doc_id FROM scored WHERE q >= 0.6")
 def _(t):
-    return filters.filter_quality(t.documents.withColumn("quality_score", S.quality_score(T.strip("text")))).select("doc_id")
+    return filters.filter_quality(t.texts.withColumn("quality_score", S.quality_score(T.strip("text")))).select("doc_id")
 
 
 def annotated(t):
@@ -60,7 +60,7 @@ def _(t):
 
 def _text_query(name, fn, sql):
     query(name, f"SELECT doc_id, {sql} AS value FROM documents")(
-        lambda t: t.documents.select("doc_id", fn("text").alias("value")))
+        lambda t: t.texts.select("doc_id", fn("text").alias("value")))
 
 
 _text_query("strip", T.strip, C.strip("text"))
@@ -84,17 +84,17 @@ _text_query("content_hash", T.content_hash, "sha256(text)")
 
 @query("char_entropy", f"SELECT doc_id, round(coalesce(e, 0), 6) AS entropy FROM documents LEFT JOIN {C.entropy('documents')} USING (doc_id)")
 def _(t):
-    return t.documents.select("doc_id", F.round(S.char_entropy("text"), 6).alias("entropy"))
+    return t.texts.select("doc_id", F.round(S.char_entropy("text"), 6).alias("entropy"))
 
 
 @query("entropy_score", f"SELECT doc_id, round({C.unit('coalesce(e, 0) / 5')}, 6) AS score FROM documents LEFT JOIN {C.entropy('documents')} USING (doc_id)")
 def _(t):
-    return t.documents.select("doc_id", F.round(S.entropy_score(S.char_entropy("text")), 6).alias("score"))
+    return t.texts.select("doc_id", F.round(S.entropy_score(S.char_entropy("text")), 6).alias("score"))
 
 
 @query("quality_score", f"WITH {C.SCORED} SELECT doc_id, round(q, 6) AS quality_score FROM scored")
 def _(t):
-    return t.documents.select("doc_id", F.round(S.quality_score(T.strip("text")), 6).alias("quality_score"))
+    return t.texts.select("doc_id", F.round(S.quality_score(T.strip("text")), 6).alias("quality_score"))
 
 
 _LEX = C.count("text", T.LEXEME)
@@ -105,22 +105,22 @@ _SYL = f"greatest({C.count('lower(text)', T.VOWELS)}, {_LEX})"
     f"0.4::DOUBLE * ({C.flesch('text')} / 100) + 0.3::DOUBLE * least({_LEX} / greatest(1, {C.count('text', T.SENTENCE)}) / 30, 1)"
     f" + 0.3::DOUBLE * least({_SYL} / greatest(1, {_LEX}) / 3, 1)")} END, 9) AS quality_score FROM documents""")
 def _(t):
-    return t.documents.select("doc_id", F.round(S.quality_score_weighted("text"), 9).alias("quality_score"))
+    return t.texts.select("doc_id", F.round(S.quality_score_weighted("text"), 9).alias("quality_score"))
 
 
 @query("normalize_unicode", "SELECT doc_id, nfc_normalize(text) AS value FROM documents")
 def _(t):
-    return t.documents.select("doc_id", S.normalize_unicode("text").alias("value"))
+    return t.texts.select("doc_id", S.normalize_unicode("text").alias("value"))
 
 
 @query("fuzzy_hash")
 def _(t):
-    return t.documents.select("doc_id", sketch.fuzzy_hash(sketch.minhash_signature("text")).alias("duplicate_hash"))
+    return t.texts.select("doc_id", sketch.fuzzy_hash(sketch.minhash_signature("text")).alias("duplicate_hash"))
 
 
 @query("minhash_signature")
 def _(t):
-    return t.documents.select("doc_id", F.array_join(sketch.minhash_signature("text"), ",").alias("signature"))
+    return t.texts.select("doc_id", F.array_join(sketch.minhash_signature("text"), ",").alias("signature"))
 
 
 _SPACED = f"(' ' || {C.replace('lower(text)', '[^\\p{L}]+', ' ')} || ' ')"
@@ -138,7 +138,7 @@ profiles AS (SELECT lang, gram, n, ln((c + 1.0::DOUBLE) / (total + {language.GRA
 
 @query("fit_language_profiles", f"WITH {_PROFILES} SELECT lang, gram, CAST(n AS INTEGER) AS n, round(logp, 6) AS logp FROM profiles")
 def _(t):
-    p = language.fit_language_profiles(t.documents)
+    p = language.fit_language_profiles(t.texts)
     return p.select("lang", "gram", "n", F.round("logp", 6).alias("logp"))
 
 
@@ -157,9 +157,9 @@ def _(t):
 
 @query("quality_model_score")
 def _(t):
-    labelled = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id")
+    labelled = t.texts.join(t.labels.select("doc_id", "quality"), "doc_id")
     model = quality.fit_quality_model(labelled, "text")
-    return quality.quality_model_score(t.documents, model, "text").select("doc_id", "quality_score")
+    return quality.quality_model_score(t.texts, model, "text").select("doc_id", "quality_score")
 
 
 @query("register_quality_scorer", "SELECT doc_id, round(length(text) / (length(text) + 1000), 6) AS quality_score FROM documents")
@@ -167,7 +167,7 @@ def _(t):
     from weftline.functions.registry import register_quality_scorer
 
     scorer = register_quality_scorer("length", lambda s: s.str.len() / (s.str.len() + 1000))
-    return t.documents.select("doc_id", F.round(scorer("text"), 6).alias("quality_score"))
+    return t.texts.select("doc_id", F.round(scorer("text"), 6).alias("quality_score"))
 
 
 @query("register_language_detector", "SELECT doc_id, CASE WHEN regexp_matches(lower(text), '[^a-z\\x00-\\x7f]') THEN 'other' ELSE 'en' END AS language FROM documents")
@@ -180,7 +180,7 @@ def _(t):
         return pd.DataFrame({"language": ["en" if x.isascii() else "other" for x in s], "confidence": 1.0})
 
     found = register_language_detector("ascii", ascii_or_not)
-    return t.documents.select("doc_id", found("text")["language"].alias("language"))
+    return t.texts.select("doc_id", found("text")["language"].alias("language"))
 
 
 @query("register_tokenizer", "SELECT doc_id, CAST(least(length(text), 64) AS INTEGER) AS token_count, unicode(text) AS first_token FROM documents WHERE length(text) >= 10")
@@ -189,5 +189,5 @@ def _(t):
     from weftline.operators.tokenize import tokenize
 
     chars = register_tokenizer("chars", lambda texts, n: [[ord(c) for c in x[:n]] for x in texts])
-    out = tokenize(t.documents, chars, max_length=64, col="text")
+    out = tokenize(t.texts, chars, max_length=64, col="text")
     return out.select("doc_id", "token_count", F.col("tokens")[0].alias("first_token"))

@@ -16,10 +16,17 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @property
+    def texts(self) -> DataFrame:
+        """documents spread over the cores when they come in fewer files than there are cores."""
+        d = self.documents
+        cores = self.spark.sparkContext.defaultParallelism
+        return d.repartition(cores) if len(d.inputFiles()) < cores else d
+
     @property
     def raw(self) -> DataFrame:
         """documents as raw records; ord is the unique reading order."""
-        d = self.documents
+        d = self.texts
         domain = F.concat("source", F.lit(".example.com"))
         return d.select(
             F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("id"),
