@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from weftline import schemas
 
 MARKER = ".crawl_start_time"
+JSONL = "*.{jsonl,json,jsonl.gz,json.gz}"  # given files, and those Spark writes
 
 
 def _jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return (
         spark.read.schema(schema + ", _corrupt_record string")
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("pathGlobFilter", "*.jsonl").json(path)
+        .option("pathGlobFilter", JSONL).json(path)
     )
 
 
@@ -30,7 +31,7 @@ def read_marker(spark: SparkSession, raw_dir: str):
 
 
 def scan_raw(spark: SparkSession, path: str, since: float | None = None, slack_s: int = 10):
-    """(good, rejects) of all *.jsonl in a folder; blank lines are skipped.
+    """(good, rejects) of all JSON-lines files of a folder, not of its subfolders; blank lines are skipped.
 
     Rejects hold lines that are not JSON objects of the raw layout or lack a required field.
     `since` keeps the files modified no earlier than slack_s seconds before it.

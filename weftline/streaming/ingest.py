@@ -9,10 +9,11 @@ from weftline import schemas
 from weftline.config import Config
 from weftline.functions import text as T
 from weftline.operators import filters
+from weftline.sources.readers import JSONL
 
 
 def read_stream(spark: SparkSession, path: str, fmt: str = "json", schema: str = schemas.RAW,
-                glob: str = "*.jsonl", files_per_batch: int | None = None) -> DataFrame:
+                glob: str = JSONL, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
