@@ -86,19 +86,19 @@ judged AS (SELECT *, CASE WHEN len = 0 THEN 'empty' WHEN len < 500 THEN 'too_sho
 
 # word sets and the pairs that reach 0.8, walked in order
 GREEDY = """
-nb AS (SELECT b, list(a) AS earlier FROM edges GROUP BY b),
-seq AS (SELECT b, earlier, row_number() OVER (ORDER BY b) AS rn FROM nb),
+nb AS MATERIALIZED (SELECT b, list(a) AS earlier FROM edges GROUP BY b),
+seq AS MATERIALIZED (SELECT b, earlier, row_number() OVER (ORDER BY b) AS rn FROM nb),
 walk AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS gone
   UNION ALL SELECT s.rn, CASE WHEN len(list_filter(s.earlier, lambda x: NOT list_contains(w.gone, x))) > 0
     THEN list_append(w.gone, s.b) ELSE w.gone END FROM walk w JOIN seq s ON s.rn = w.rn + 1),
-gone AS (SELECT unnest(gone) AS b FROM (SELECT gone FROM walk ORDER BY rn DESC LIMIT 1))"""
+gone AS MATERIALIZED (SELECT unnest(gone) AS b FROM (SELECT gone FROM walk ORDER BY rn DESC LIMIT 1))"""
 
 
 def similar_sets(src="documents", key="doc_id", text="text", threshold=0.8):
     return f"""sets AS (SELECT DISTINCT {key} AS id, unnest({words(text)}) AS w FROM {src}),
 sizes AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
 common AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM sets x JOIN sets y ON x.w = y.w AND x.id < y.id GROUP BY 1, 2),
-edges AS (SELECT a, b, c / (p.n + q.n - c) AS j FROM common JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b
+edges AS MATERIALIZED (SELECT a, b, c / (p.n + q.n - c) AS j FROM common JOIN sizes p ON p.id = a JOIN sizes q ON q.id = b
   WHERE c / (p.n + q.n - c) >= {threshold} - 1e-12)"""
 
 

@@ -57,7 +57,7 @@ def _(t):
 
 
 @query("dedup_lsh", f"""WITH RECURSIVE {C.similar_sets()}, {C.GREEDY}
-SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT b FROM gone)""")
+SELECT doc_id FROM documents EXCEPT SELECT b FROM gone""")
 def _(t):
     return dedup.dedup_lsh(t.texts, "doc_id", 0.8, "recall", "text").select("doc_id")
 
@@ -86,7 +86,7 @@ def _(t):
     return dedup.simhash_pairs(t.texts, "doc_id", col="text").select("b")
 
 
-@query("dedup_simhash", f"WITH RECURSIVE {_CLOSE} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT b FROM gone)")
+@query("dedup_simhash", f"WITH RECURSIVE {_CLOSE} SELECT doc_id FROM documents EXCEPT SELECT b FROM gone")
 def _(t):
     return dedup.dedup_simhash(t.texts, "doc_id", col="text").select("doc_id")
 
@@ -104,11 +104,12 @@ def exactly_cleaned(t):
 
 
 @query("clean_corpus", f"""WITH RECURSIVE {_EXACT}, kept AS (SELECT * FROM final WHERE reason IS NULL),
-{C.similar_sets('kept', text='body')}, {C.GREEDY}
+{C.similar_sets('kept', text='body')}, {C.GREEDY},
+unique_docs AS (SELECT doc_id FROM kept EXCEPT SELECT b FROM gone)
 SELECT CAST(doc_id AS VARCHAR) AS id, 'https://' || source || '.example.com/' || doc_id AS original_url, source || '.example.com' AS domain,
   {C.clean('body')} AS content, lang AS language, round(q, 6) AS quality_score, CAST(len AS INTEGER) AS content_length,
   CAST({C.count('body', T.WORD)} + {C.count('body', T.STOPS)} AS INTEGER) AS token_estimate, sha256(text) AS content_hash,
-  'web_crawl' AS source, 'unknown' AS license FROM kept WHERE doc_id NOT IN (SELECT b FROM gone)""")
+  'web_crawl' AS source, 'unknown' AS license FROM kept JOIN unique_docs USING (doc_id)""")
 def _(t):
     docs = clean_corpus(t.raw, profiles(t), order_by="ord").documents
     return docs.select("id", "original_url", "domain", "content", "language", F.round("quality_score", 6).alias("quality_score"),
