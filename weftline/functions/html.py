@@ -153,7 +153,8 @@ def html_extract(html, url, exclude_subtrees: bool = False):
                 rows.append((None, None, None))
         return pd.DataFrame(rows, columns=["title", "text", "links"])
 
-    return extract(col(html), col(url))
+    # not repeated for a filter above it
+    return extract.asNondeterministic()(col(html), col(url))
 
 
 def extract_title(html):

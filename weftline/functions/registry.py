@@ -40,7 +40,7 @@ def register_tokenizer(name: str, fn):
         def encode(texts: pd.Series) -> pd.Series:
             return pd.Series(fn(list(texts), max_length), dtype=object)
 
-        return encode(content)
+        return encode.asNondeterministic()(content)
 
     _HOOKS["tokenizer"][name] = tokenizer
     return tokenizer

@@ -64,7 +64,8 @@ def signature_of(words, num_perm: int = 128):
     def minhash(sets: pd.Series) -> pd.Series:
         return pd.Series(_signatures(sets, num_perm), dtype=object)
 
-    return minhash(T.col(words))
+    # not repeated for a filter above it
+    return minhash.asNondeterministic()(T.col(words))
 
 
 def minhash_signature(c, num_perm: int = 128, max_words: int | None = None):

@@ -11,8 +11,9 @@ from weftline.session import cut
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """(src, dst), each once. Links are distinct within a page, so only repeated pages meet here."""
-    links = H.extract_links("html", "url") if "html" in pages.columns else F.col("links")
-    return pages.select(F.col("url").alias("src"), F.explode(links).alias("dst")).distinct()
+    if "html" in pages.columns:
+        pages = pages.select("url", H.extract_links("html", "url").alias("links"))
+    return pages.select(F.col("url").alias("src"), F.explode("links").alias("dst")).distinct()
 
 
 def follow_filter(edges: DataFrame, allowed_domains, deny_ext=U.DENY_15, col: str = "dst") -> DataFrame:

@@ -176,7 +176,8 @@ def detect(c, profiles: dict, prefix: int | None = None):
         return pd.DataFrame(rows, columns=["language", "confidence"])
 
     c = col(c) if prefix is None else F.substring(col(c), 1, prefix)
-    return judge(letters_only(c))
+    # not repeated for a filter above it
+    return judge.asNondeterministic()(letters_only(c))
 
 
 def detect_language(df: DataFrame, profiles, content: str = "content", prefix: int | None = None) -> DataFrame:

@@ -57,7 +57,7 @@ def word_vocab(vocab: DataFrame, unk: str = "<unk>"):
         offsets = pa.concat_arrays([pa.array([0], ends.type), ends])
         return pa.ListArray.from_arrays(offsets.cast(pa.int32()), pc.fill_null(flat, other))
 
-    udf = F.arrow_udf(encode, "array<int>")
+    udf = F.arrow_udf(encode, "array<int>").asNondeterministic()  # not repeated for a filter above it
 
     def tokenizer(content, max_length: int):
         return udf(F.slice(T.words(content), 1, max_length))
