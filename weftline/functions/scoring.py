@@ -30,14 +30,14 @@ def char_entropy(c):
 
 
 def entropy_score(entropy):
-    return T.unit_interval(T.col(entropy) / 5.0)
+    return F.when(T.col(entropy).isNotNull(), T.unit_interval(T.col(entropy) / 5.0))
 
 
 def quality_score(c, entropy=None):
     """Mean of readability, character entropy and sentence-length fit; 0.5 when undefined."""
     entropy = char_entropy(c) if entropy is None else T.col(entropy)
     total = T.readability_score(c) + entropy_score(entropy) + T.length_diversity(T.avg_sentence_len(c))
-    return F.coalesce(total / 3.0, F.lit(0.5))
+    return F.when(T.col(c).isNull(), F.lit(0.5)).otherwise(F.coalesce(total / 3.0, F.lit(0.5)))
 
 
 def quality_score_weighted(c, min_chars: int = 500):

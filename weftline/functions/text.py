@@ -101,7 +101,7 @@ def unit_interval(c):
 
 
 def readability_score(c):
-    return unit_interval(flesch_reading_ease(c) / 100.0)
+    return F.when(col(c).isNotNull(), unit_interval(flesch_reading_ease(c) / 100.0))
 
 
 def content_hash(c, algo: str = "sha256"):

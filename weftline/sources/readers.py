@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +23,16 @@ def _jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_marker(spark: SparkSession, raw_dir: str):
     """Start time of the current run in epoch seconds, kept beside the raw folder; None if unreadable."""
-    path = raw_dir.rstrip("/").rsplit("/", 1)[0] + "/" + MARKER
+    jvm = spark._jvm
+    # Spark's readers skip names that begin with a dot
+    path = jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/").rsplit("/", 1)[0] + "/" + MARKER)
     try:
-        line = spark.read.text(path).first()
-        return float(line["value"].strip()) if line else None
-    except (AnalysisException, ValueError):
+        stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            return float(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+        finally:
+            stream.close()
+    except (Py4JJavaError, PySparkException, ValueError):
         return None
 
 
@@ -50,13 +56,14 @@ def scan_raw(spark: SparkSession, path: str, since: float | None = None, slack_s
 
 def raw_counts(spark: SparkSession, path: str) -> DataFrame:
     """Parsed lines per file; lines that are not JSON do not count."""
-    rows = _jsonl(spark, path, schemas.RAW).where("_corrupt_record IS NULL")
+    # the JSON source must be asked for a column of its own beside the corrupt one
+    rows = _jsonl(spark, path, schemas.RAW).where("_corrupt_record IS NULL AND length(coalesce(id, '')) >= 0")
     return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("total_docs"))
 
 
 def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """All cleaned files of all runs, with defaults for absent fields."""
-    rows = _jsonl(spark, path, schemas.CLEANED).where("_corrupt_record IS NULL").drop("_corrupt_record")
+    rows = _jsonl(spark, path, schemas.CLEANED).where("_corrupt_record IS NULL AND id IS NOT NULL").drop("_corrupt_record")
     return rows.withColumns({
         "language": F.coalesce("language", F.lit("unknown")),
         "quality_score": F.coalesce("quality_score", F.lit(0.5)),
