@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +14,16 @@ def page_to_document(pages: DataFrame, run_ts: str, min_chars: int = 100, max_li
                      exclude_subtrees: bool = False) -> DataFrame:
     """The raw record of every page with enough text. Map-only; each page is parsed once.
 
-    pages: url, html and, where known, depth and status_code. run_ts is the ISO time of the run.
+    pages: url, html and, where known, depth and status_code. run_ts is the ISO time of the run, in UTC.
     """
     have = pages.columns
     depth = F.col("depth") if "depth" in have else F.lit(0)
     status = F.col("status_code") if "status_code" in have else F.lit(200)
+    unix_s = datetime.fromisoformat(run_ts.removesuffix("Z")).replace(tzinfo=timezone.utc).timestamp()
     parsed = pages.withColumn("_page", H.html_extract("html", "url", exclude_subtrees))
     text = F.col("_page.text")
     return parsed.where(F.length(T.strip(text)) >= min_chars).select(
-        U.doc_id("url", F.unix_timestamp(F.lit(run_ts).cast("timestamp"))).alias("id"),
+        U.doc_id("url", int(unix_s)).alias("id"),
         "url",
         U.url_domain("url").alias("domain"),
         F.col("_page.title").alias("title"),

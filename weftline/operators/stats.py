@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weftline.operators.rank import shuffle_key, top_per_group
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """One row out of several one-row tables, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+
+
 def corpus_stats(df: DataFrame, by: str = "source") -> DataFrame:
     """Documents per file and in all (NULL), by outcome. df has a reason column."""
     def count(condition, name):
@@ -72,7 +80,7 @@ def token_stats(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_docs"), F.coalesce(F.sum("t"), F.lit(0)).alias("total_tokens"),
         F.coalesce(F.try_divide(F.sum("t"), F.sum("n")), F.lit(0.0)).alias("avg_doc_length"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "n")))).alias("language_dist"))
-    return docs.join(shards)  # one row each
+    return side_by_side(docs, shards)
 
 
 def dataset_summary(df: DataFrame, versions: DataFrame, backups: DataFrame) -> DataFrame:
@@ -88,7 +96,7 @@ def dataset_summary(df: DataFrame, versions: DataFrame, backups: DataFrame) -> D
     counts = df.agg(*both("train"), *both("val"))
     known = versions.agg(F.max_by("version", "created_at").alias("_v"), F.count("*").alias("_nv"))
     saved = backups.agg(F.max("name").alias("_b"), F.count("*").alias("_nb"))
-    return counts.join(known).join(saved).select(
+    return side_by_side(counts, known, saved).select(
         F.coalesce("_v", "_b", F.lit("N/A")).alias("current_version"),
         F.greatest("_nv", "_nb").alias("total_versions"),
         (F.col("train_documents") + F.col("val_documents")).alias("total_documents"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline import schemas
 from weftline.functions import text as T
-from weftline.operators.stats import filter_rate
+from weftline.operators.stats import filter_rate, side_by_side
 from weftline.sources.writers import table_exists
 
 COMPONENT_VERSIONS = {"crawler": "1.0.0", "processor": "1.0.0", "tokenizer": "1.0.0"}  # fixed values
@@ -82,7 +82,7 @@ def _append_version(store: VersionStore, name: str, description: str, df: DataFr
     saved = store.spark.read.schema(df.schema).parquet(snapshot)
     hashes = saved if "content_hash" in df.columns else saved.withColumn(
         "content_hash", T.content_hash(F.to_json(F.struct(*df.columns))))
-    row = corpus_metrics(saved).join(dataset_checksum(hashes))
+    row = side_by_side(corpus_metrics(saved), dataset_checksum(hashes))
     row.select(
         F.lit(name).alias("version"), F.lit(created_at).alias("created_at"),
         F.lit(description).alias("description"), _pairs(COMPONENT_VERSIONS).alias("source_versions"),
@@ -228,8 +228,8 @@ def version_report(raw: DataFrame, cleaned: DataFrame, shards: DataFrame, name:
         return [F.count_if(on).alias(f"{split}_docs"),
                 F.coalesce(F.sum(F.when(on, F.col("token_count"))), F.lit(0)).alias(f"{split}_tokens")]
 
-    row = raw.agg(F.count("*").alias("raw")).join(cleaned.agg(F.count("*").alias("kept"))).join(
-        shards.agg(*both("train"), *both("val")))
+    row = side_by_side(raw.agg(F.count("*").alias("raw")), cleaned.agg(F.count("*").alias("kept")),
+                       shards.agg(*both("train"), *both("val")))
     lines = [
         F.lit(f"Dataset Version: {name}"),
         F.concat(F.lit("Raw Documents: "), F.col("raw")),

@@ -235,9 +235,9 @@ def _(t):
                       F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("ones"))
 
 
-@query("training_view", f"WITH {C.coded(VOCAB, 512)} SELECT md5(array_to_string(tokens, ',')) AS input_ids, md5(array_to_string(tokens, ',')) AS labels, n AS ones FROM toks")
+@query("training_view", f"WITH {C.coded(VOCAB)} SELECT md5(array_to_string(tokens, ',')) AS input_ids, md5(array_to_string(tokens, ',')) AS labels, n AS ones FROM toks")
 def _(t):
-    v = tokenize.training_view(coded(t, 512))
+    v = tokenize.training_view(coded(t))
     return v.select(F.md5(F.array_join("input_ids", ",")).alias("input_ids"), F.md5(F.array_join("labels", ",")).alias("labels"),
                     F.size("attention_mask").cast("long").alias("ones"))
 

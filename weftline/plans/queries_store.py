@@ -370,16 +370,16 @@ def _(t):
     return t.spark.read.schema("id string, content_hash string").json(out)
 
 
-@query("stream_metrics_window", "SELECT CAST(epoch_us(ts) // 10000000 AS BIGINT) * 10 AS window_start, event_type AS reason, count(*) AS docs FROM events GROUP BY ALL")
+@query("stream_metrics_window", "SELECT strftime(time_bucket(INTERVAL '10 seconds', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS reason, count(*) AS docs FROM events GROUP BY ALL")
 def _(t):
     out = scratch_path(t.spark, "metrics-stream")
     schema = t.events.schema
     arriving = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    arriving = arriving.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("reason"))
+    arriving = arriving.select("ts", F.col("event_type").alias("reason"))
 
     def keep_latest(batch, number):
         batch.write.mode("overwrite").parquet(out)
 
     ingest.metrics_window(arriving).writeStream.outputMode("complete").option(
         "checkpointLocation", scratch_path(t.spark, "stream-state")).foreachBatch(keep_latest).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(out).select(F.unix_timestamp("window_start").alias("window_start"), "reason", "docs")
+    return t.spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")

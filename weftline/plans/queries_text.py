@@ -183,11 +183,11 @@ def _(t):
     return t.texts.select("doc_id", found("text")["language"].alias("language"))
 
 
-@query("register_tokenizer", "SELECT doc_id, CAST(least(length(text), 64) AS INTEGER) AS token_count, unicode(text) AS first_token FROM documents WHERE length(text) >= 10")
+@query("register_tokenizer", "SELECT doc_id, CAST(length(text) AS INTEGER) AS token_count, unicode(text) AS first_token FROM documents WHERE length(text) >= 10")
 def _(t):
     from weftline.functions.registry import register_tokenizer
     from weftline.operators.tokenize import tokenize
 
     chars = register_tokenizer("chars", lambda texts, n: [[ord(c) for c in x[:n]] for x in texts])
-    out = tokenize(t.texts, chars, max_length=64, col="text")
+    out = tokenize(t.texts, chars, max_length=1_000_000, col="text")
     return out.select("doc_id", "token_count", F.col("tokens")[0].alias("first_token"))
