@@ -36,20 +36,24 @@ def entropy_score(entropy):
 def quality_score(c, entropy=None):
     """Mean of readability, character entropy and sentence-length fit; 0.5 when undefined."""
     entropy = char_entropy(c) if entropy is None else T.col(entropy)
-    total = T.readability_score(c) + entropy_score(entropy) + T.length_diversity(T.avg_sentence_len(c))
-    return F.when(T.col(c).isNull(), F.lit(0.5)).otherwise(F.coalesce(total / 3.0, F.lit(0.5)))
+    form = T.let(T.reading_counts(c), T.flesch_of) / 100.0
+    fit = T.let(T.avg_sentence_len(c), T.length_diversity)
+    total = T.unit_interval(form) + T.unit_interval(entropy / 5.0) + fit
+    missing = F.length(T.col(c)) * 0.0  # NULL without a text, which greatest and least would hide
+    return F.coalesce(total / 3.0 + missing, F.lit(0.5))
 
 
 def quality_score_weighted(c, min_chars: int = 500):
     """The weighted variant: reading ease, sentence length and syllables per word."""
-    sentence_len = T.lexicon_count(c) / T.readable_sentences(c)
-    per_word = T.syllables(c) / F.greatest(F.lit(1), T.lexicon_count(c))
-    mix = (
-        0.4 * (T.flesch_reading_ease(c) / 100.0)
-        + 0.3 * F.least(sentence_len / 30.0, F.lit(1.0))
-        + 0.3 * F.least(per_word / 3.0, F.lit(1.0))
-    )
-    return F.when(F.length(T.col(c)) < min_chars, F.lit(0.0)).otherwise(T.unit_interval(mix))
+    def mix(n):
+        sentence_len = n["lexemes"] / n["sentences"]
+        per_word = n["syllables"] / F.greatest(F.lit(1), n["lexemes"])
+        return T.unit_interval(
+            0.4 * (T.flesch_of(n) / 100.0)
+            + 0.3 * F.least(sentence_len / 30.0, F.lit(1.0))
+            + 0.3 * F.least(per_word / 3.0, F.lit(1.0)))
+
+    return F.when(F.length(T.col(c)) < min_chars, F.lit(0.0)).otherwise(T.let(T.reading_counts(c), mix))
 
 
 def normalize_unicode(c, form: str = "NFC"):

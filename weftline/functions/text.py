@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Character classes and patterns.
 SPACE = r"\t-\r\x1c-\x1f \x{85}\p{Z}"
 WORD = r"[\p{L}\p{N}_]+"
-EDGES = f"^[{SPACE}]+|[{SPACE}]+$"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 URL = r"https?://[!$-_a-z]+"
 EMAIL = f"(?<![^{SPACE}])[^{SPACE}][^{SPACE}@]*+@[^{SPACE}]+"
 STOPS = "[.!?]"
@@ -27,7 +27,8 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c):
-    return F.regexp_replace(col(c), EDGES, "")
+    """Unicode whitespace off both ends; looks at the ends only, not through the whole text."""
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def clean_whitespace(c):
@@ -89,13 +90,28 @@ def readable_sentences(c):
     return F.greatest(F.lit(1), count_matches(c, SENTENCE))
 
 
-def flesch_reading_ease(c):
-    lexemes = F.greatest(F.lit(1), lexicon_count(c))
-    per_sentence = lexicon_count(c) / readable_sentences(c)
-    per_word = syllables(c) / lexemes
+def let(value, fn):
+    """fn of a value that is evaluated once, however often fn uses it and under whatever condition."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def reading_counts(c):
+    """struct<lexemes, sentences, syllables>, each text pattern counted once."""
+    lexemes, vowels = lexicon_count(c), count_matches(F.lower(col(c)), VOWELS)
+    return let(F.struct(lexemes.alias("n"), vowels.alias("v"), readable_sentences(c).alias("s")), lambda x: F.struct(
+        x["n"].alias("lexemes"), x["s"].alias("sentences"), F.greatest(x["n"], x["v"]).alias("syllables")))
+
+
+def flesch_of(counts):
+    per_word = counts["syllables"] / F.greatest(F.lit(1), counts["lexemes"])
+    per_sentence = counts["lexemes"] / counts["sentences"]
     return F.lit(206.835) - F.lit(1.015) * per_sentence - F.lit(84.6) * per_word
 
 
+def flesch_reading_ease(c):
+    return let(reading_counts(c), flesch_of)
+
+
 def unit_interval(c):
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), col(c)))
 

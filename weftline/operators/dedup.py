@@ -52,9 +52,9 @@ def visited_dedup(urls: DataFrame, visited: DataFrame, col: str = "url") -> Data
 def _keyed(df: DataFrame, order_by: str, bands: int, rows: int, col: str, max_words) -> DataFrame:
     """(ord, set_hash, keys): a hash of each word set and its band keys, some 100 bytes a document."""
     words = df.select(F.col(order_by).alias("ord"), sketch.word_set(col, max_words).alias("words"))
-    signed = words.where(F.size("words") > 0).select(
-        "ord", F.sha2(F.to_json("words"), 256).alias("set_hash"),
-        sketch.signature_of("words", bands * rows).alias("sig"))
+    signed = words.select(
+        "ord", F.sha2(F.to_json("words"), 256).alias("set_hash"), F.size("words").alias("size"),
+        sketch.signature_of("words", bands * rows).alias("sig")).where("size > 0")
     return staged(signed.select("ord", "set_hash", sketch.band_keys("sig", bands, rows).alias("keys")),
                   "bandkeys")
 

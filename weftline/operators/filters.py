@@ -80,9 +80,11 @@ def annotate_reason(df: DataFrame, profiles: dict, cfg: Config = Config(), detec
         .when(~F.col("language").isin(*cfg.language.supported_languages), "unsupported_language")
         .when(F.col("language_confidence") < cfg.language.min_confidence, "low_language_confidence"),
     )
-    todo = F.when(F.col("reason").isNull(), F.col("content"))
-    score = scorer(todo) if scorer else F.when(todo.isNotNull(), scoring.quality_score(todo))
-    return spoken.withColumn("quality_score", score).withColumn(
+    spoken = spoken.withColumn("_todo", F.when(F.col("reason").isNull(), F.col("content")))
+    score = (scorer or scoring.quality_score)("_todo")
+    scored = spoken.withColumn("_score", score).withColumn(
+        "quality_score", F.when(F.col("reason").isNull(), F.col("_score"))).drop("_todo", "_score")
+    return scored.withColumn(
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("quality_score") < cfg.quality.min_quality_score, "low_quality"),

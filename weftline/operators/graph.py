@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import html as H, url as U
-from weftline.session import cut
+from weftline.session import cut, staged
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
@@ -41,6 +41,7 @@ def crawl_reachability(edges: DataFrame, seeds: DataFrame, max_depth: int, stric
     max_depth + 1 are reached; strict stops at max_depth. Each level is written out, which bounds
     both the plan and what a lost executor costs.
     """
+    edges = staged(edges.select("src", "dst"), "edges")
     level = cut(seeds.select(F.col("url")).distinct().withColumn("depth", F.lit(0)))
     seen = level
     for depth in range(1, max_depth + (1 if strict else 2)):

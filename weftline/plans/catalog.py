@@ -36,7 +36,7 @@ def replace(text, pattern, by):
 
 
 def strip(text):
-    return replace(text, T.EDGES, "")
+    return replace(text, f"^[{T.SPACE}]+|[{T.SPACE}]+$", "")
 
 
 def clean(text):

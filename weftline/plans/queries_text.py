@@ -94,7 +94,8 @@ def _(t):
 
 @query("quality_score", f"WITH {C.SCORED} SELECT doc_id, round(q, 6) AS quality_score FROM scored")
 def _(t):
-    return t.texts.select("doc_id", F.round(S.quality_score(T.strip("text")), 6).alias("quality_score"))
+    body = t.texts.select("doc_id", T.strip("text").alias("body"))
+    return body.select("doc_id", F.round(S.quality_score("body"), 6).alias("quality_score"))
 
 
 _LEX = C.count("text", T.LEXEME)
