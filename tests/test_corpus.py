@@ -86,6 +86,18 @@ def test_clean_corpus_accounts_for_every_document(spark, profiles, mode):
     assert totals["processed_docs"] + totals["filtered_docs"] == totals["total_docs"] == 6
 
 
+def test_repeated_ids_and_records(spark, profiles):
+    one, two = PROSE * 10, ENGLISH * 20
+    rows = [("same", "http://h/1", "h", "t", one, "x", "2024"), ("same", "http://h/2", "h", "t", two, "y", "2024"),
+            ("same", "http://h/1", "h", "t", one, "x", "2024"), ("b", "http://h/3", "h", "t", one, "x", "2023")]
+    df = spark.createDataFrame(rows, "id string, url string, domain string, title string, content string, content_hash string, timestamp string")
+    done = clean_corpus(df, profiles, merge(Config(), {"quality": {"min_quality_score": 0.0}}))
+    assert sorted(r["original_url"] for r in done.documents.collect()) == ["http://h/2", "http://h/3"]
+    assert sorted(str(r["reason"]) for r in done.verdicts.collect()) == ["None", "None", "duplicate", "duplicate"]
+    again = clean_corpus(spark.createDataFrame(rows[:1] * 3, df.schema), profiles, merge(Config(), {"quality": {"min_quality_score": 0.0}}))
+    assert again.documents.count() == 1 and again.verdicts.where("reason IS NULL").count() == 1
+
+
 def test_quality_model_separates(spark):
     good, bad = "clear useful words here", "spam spam buy now"
     rows = [(f"{good} {i}", 1) for i in range(20)] + [(f"{bad} {i}", 0) for i in range(20)]

@@ -20,15 +20,26 @@ class Cleaned:
     verdicts: DataFrame   # every input document's id, scores and reason, without its text
 
 
-def clean_corpus(raw: DataFrame, profiles, cfg: Config = Config(), order_by: str = "id",
+def record_key():
+    """Order and identity of a raw record: equal keys mean copies of one record.
+
+    The id alone holds 32 bits of the URL's hash and repeats in a large corpus.
+    """
+    return F.concat_ws("\x1f", "timestamp", "url", "id", T.content_hash(F.coalesce("content", F.lit(""))))
+
+
+def clean_corpus(raw: DataFrame, profiles, cfg: Config = Config(), order_by: str | None = None,
                  detector=None, scorer=None) -> Cleaned:
     """Filter, score, remove duplicates and clean.
 
     The texts are read map-only to judge each document; what is staged and shuffled afterwards is a
-    narrow row per document. Only the survivors' texts are read again for the output.
+    narrow row per document. Only the survivors' texts are read again for the output. Of equal
+    documents the first by `order_by` survives, a column that is unique; by default the record key.
     """
     if isinstance(profiles, DataFrame):
         profiles = load_profiles(profiles)
+    if order_by is None:
+        raw, order_by = raw.withColumn("record", record_key()), "record"
     judged = filters.annotate_reason(raw, profiles, cfg, detector, scorer)
     todo = F.when(F.col("reason").isNull(), F.col("content"))
     narrow = judged.select(
@@ -37,7 +48,7 @@ def clean_corpus(raw: DataFrame, profiles, cfg: Config = Config(), order_by: str
         T.content_hash(todo).alias("text_hash"),
         F.when(F.col("reason").isNull(), sketch.fuzzy_hash(sketch.minhash_signature(
             todo, cfg.deduplication.num_perm))).alias("duplicate_hash"))
-    verdicts = staged(narrow, "verdicts")
+    verdicts = staged(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("copies")), "verdicts")
     kept = dedup.keep_first(verdicts.where("reason IS NULL"), F.col("text_hash"), order_by)
     if cfg.deduplication.mode == "signature":
         kept = dedup.keep_first(kept, F.col("duplicate_hash"), order_by)
@@ -49,9 +60,13 @@ def clean_corpus(raw: DataFrame, profiles, cfg: Config = Config(), order_by: str
     elif cfg.deduplication.mode != "exact":
         raise ValueError(f"unknown dedup mode: {cfg.deduplication.mode}")
     kept = staged(kept, "kept")
-    final = verdicts.join(kept.select(order_by, F.lit(True).alias("_kept")), order_by, "left").withColumn(
-        "reason", F.when(F.col("reason").isNull() & F.col("_kept").isNull(), "duplicate").otherwise(F.col("reason"))
-    ).drop("_kept", "text_hash")
+    fresh = F.col("_kept").isNotNull() & (F.col("_copy") == 1)
+    final = (
+        verdicts.join(kept.select(order_by, F.lit(True).alias("_kept")), order_by, "left")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .withColumn("reason", F.when(F.col("reason").isNull() & ~fresh, "duplicate").otherwise(F.col("reason")))
+        .drop("_kept", "_copy", "copies", "text_hash")
+    )
     scores = kept.select(order_by, "language", "language_confidence", "quality_score", "duplicate_hash")
     body = T.strip("content")
     documents = raw.join(scores, order_by).select(
@@ -61,6 +76,8 @@ def clean_corpus(raw: DataFrame, profiles, cfg: Config = Config(), order_by: str
         F.length(body).alias("content_length"), T.estimate_tokens(body).alias("token_estimate"),
         "content_hash", "duplicate_hash", "timestamp", F.lit("web_crawl").alias("source"),
         F.lit("unknown").alias("license"), F.array().cast("array<string>").alias("tags"))
+    if not kept.where("copies > 1").isEmpty():
+        documents = documents.dropDuplicates([order_by])
     return Cleaned(documents, final)
 
 
