@@ -9,7 +9,7 @@ from weftline.functions import scoring as S, sketch, text as T
 from weftline.operators import dedup, filters, shard, stats, tokenize
 from weftline.plans import catalog as C
 from weftline.plans.catalog import query
-from weftline.plans.corpus import clean_corpus
+from weftline.plans.corpus import clean_corpus, shard_corpus
 from weftline.plans.queries_text import annotated, profiles
 
 VOCAB = 8_000
@@ -204,12 +204,17 @@ def _(t):
     return tokenize.build_vocab(t.texts, VOCAB, col="text")
 
 
-def coded(t, max_length=2048):
+def to_code(t):
+    """Documents to tokenize, and the tokenizer over their vocabulary."""
     docs = t.texts
     tokenizer = tokenize.word_vocab(tokenize.build_vocab(docs, VOCAB, col="text"))
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"), F.col("lang").alias("language"),
                        F.lit(0.5).alias("quality_score"))
-    return tokenize.tokenize(rows, tokenizer, max_length).drop("content")
+    return rows, tokenizer
+
+
+def coded(t):
+    return tokenize.tokenize(*to_code(t)).drop("content")
 
 
 @query("tokenize", f"WITH {C.coded(VOCAB)} SELECT CAST(doc_id AS VARCHAR) AS id, array_to_string(tokens, ',') AS tokens, CAST(n AS INTEGER) AS token_count FROM toks")
@@ -302,8 +307,7 @@ SHARDED = f"{C.coded(VOCAB)}, {C.ranked('toks')}"
 
 
 def sharded(t):
-    split = shard.train_val_split(shard.shuffle_docs(coded(t)))
-    return shard.assign_shards(split, SHARD_MB)
+    return shard_corpus(*to_code(t), merge(Config(), {"shards": {"shard_size_mb": SHARD_MB}}))
 
 
 @query("shard_stats", f"""WITH {SHARDED}, l AS (SELECT split, shard_id, lang, count(*) AS c, sum(n) AS t FROM ranked GROUP BY ALL)
