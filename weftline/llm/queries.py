@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from weftline.llm import simhash_dedup
+import public_tokenizers
 
+from weftline.llm import packing, simhash_dedup, token_counts
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -25,3 +28,13 @@ def table(spark, folder, name: str):
 @query("op1_simhash_near_dup")
 def op1(spark, folder):
     return simhash_dedup.simhash_components(table(spark, folder, "documents"))
+
+
+@query("op2_pack_concat_cut")
+def op2(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), TOKENIZER)
+
+
+@query("op3_token_counts")
+def op3(spark, folder):
+    return token_counts.token_counts(table(spark, folder, "documents"), TOKENIZER)
