@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import packing, simhash_dedup, token_counts
+from weftline.llm import packing, quality_classifier, quality_rules, simhash_dedup, token_counts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -38,3 +38,13 @@ def op2(spark, folder):
 @query("op3_token_counts")
 def op3(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), TOKENIZER)
+
+
+@query("op4_quality_rules")
+def op4(spark, folder):
+    return quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_quality_classifier")
+def op8(spark, folder):
+    return quality_classifier.quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
