@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import packing, quality_classifier, quality_rules, simhash_dedup, token_counts
+from weftline.llm import knn_join, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, token_counts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -48,3 +48,48 @@ def op4(spark, folder):
 @query("op8_quality_classifier")
 def op8(spark, folder):
     return quality_classifier.quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# sizes, targets by closed form (k sources full, in order of what fills them first), then the two passes
+MIX_SQL = """
+WITH RECURSIVE sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS s, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM sized GROUP BY source),
+ord AS (SELECT *, row_number() OVER (ORDER BY 2.0 * s / w, source) AS k, sum(s) OVER () AS total,
+  coalesce(sum(2 * s) OVER (ORDER BY 2.0 * s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+  sum(w) OVER (ORDER BY 2.0 * s / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w FROM src),
+lev AS (SELECT (1.5::DOUBLE * total - filled) / open_w AS c FROM ord WHERE 2.0 * s / w > (1.5::DOUBLE * total - filled) / open_w ORDER BY k LIMIT 1),
+tgt AS (SELECT source, s, least((2 * s)::DOUBLE, w * c) AS target FROM src, lev),
+tgt2 AS (SELECT *, CASE WHEN s > 0 THEN target / s ELSE 0 END AS wanted FROM tgt),
+p0 AS (SELECT d.doc_id, d.source, d.size, s AS source_size, target, floor(wanted)::BIGINT AS copies, target - floor(wanted) * s AS open,
+  wanted - floor(wanted) AS share, (('0x' || substr(md5('0:' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM sized d JOIN tgt2 t ON d.source IS NOT DISTINCT FROM t.source),
+q0 AS (SELECT *, share > 0 AND size > 0 AS free, (u / (1 - u)) / (share / (1 - share)) AS q FROM p0),
+f1 AS (SELECT *, free AND size <= 2 * open AS fits FROM q0),
+m1 AS (SELECT *, sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q, doc_id, size) AS cum FROM f1),
+t1 AS (SELECT *, fits AND cum - size + size / 2.0 <= open AS take FROM m1),
+f2 AS (SELECT * EXCLUDE (open, fits, cum, take, copies), copies + take::BIGINT AS copies, free AND NOT take AS again,
+  open - sum(CASE WHEN take THEN size ELSE 0 END) OVER (PARTITION BY source) AS open FROM t1),
+m2 AS (SELECT *, again AND size <= 2 * open AS fits,
+  sum(CASE WHEN again AND size <= 2 * open THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q, doc_id, size) AS cum FROM f2)
+SELECT doc_id, size, source_size, target, (copies + (fits AND cum - size + size / 2.0 <= open)::BIGINT) AS copies,
+  ((copies + (fits AND cum - size + size / 2.0 <= open)::BIGINT) * size) AS taken FROM m2"""
+
+
+@query("op5_mix_pareto", MIX_SQL.replace("WITH RECURSIVE", "WITH"))
+def op5(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query("op6_voronoi_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score FROM v q JOIN v r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""")
+def op6(spark, folder):
+    return knn_join.knn_join(table(spark, folder, "embeddings"))
+
+
+@query("op7_secret_scan")
+def op7(spark, folder):
+    return secrets_scan.scan(table(spark, folder, "documents"))
