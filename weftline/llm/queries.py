@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import knn_join, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, token_counts
+from weftline.llm import knn_join, lm_scoring, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, token_counts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -93,3 +93,8 @@ def op6(spark, folder):
 @query("op7_secret_scan")
 def op7(spark, folder):
     return secrets_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op9_lm_attention")
+def op9(spark, folder):
+    return lm_scoring.lm_scores(table(spark, folder, "documents"), TOKENIZER)
