@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from weftline.llm import knn_join, lm_scoring, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, token_counts
+from weftline.llm import (
+    knn_join, lm_scoring, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, suffix_dedup,
+    token_counts,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -98,3 +101,8 @@ def op7(spark, folder):
 @query("op9_lm_attention")
 def op9(spark, folder):
     return lm_scoring.lm_scores(table(spark, folder, "documents"), TOKENIZER)
+
+
+@query("op10_suffix_dedup")
+def op10(spark, folder):
+    return suffix_dedup.suffix_dedup(table(spark, folder, "documents"))
