@@ -20,10 +20,10 @@ BUCKETS = 1 << 16      # of the order, per source; only the bucket that holds th
 PASSES = 2             # the second fills, in the same order, what a long document at the cut left open
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, odds_col: str | None) -> DataFrame:
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, odds_col: str | None, carry=()) -> DataFrame:
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     odds = F.col(odds_col).cast("double") if odds_col else F.lit(1.0)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.alias("size"), odds.alias("odds"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.alias("size"), odds.alias("odds"), *carry)
 
 
 def source_targets(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: int = MOST) -> DataFrame:
@@ -56,16 +56,16 @@ def source_targets(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most:
 
 
 def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, total: float = TOTAL, most: int = MOST, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", odds_col: str | None = None) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", odds_col: str | None = None, carry: tuple = ()) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies) for every row of docs; taken = copies * size.
 
     The order comes from a seeded hash of the id, so reruns agree; ties go by id and size, null ids first.
-    `odds_col` multiplies a document's inclusion odds. A null source is a source of its own, the last one;
+    `odds_col` multiplies a document's inclusion odds; `carry` names columns to hand through. A null source is a source of its own, the last one;
     null texts have size 0 and are taken 0 words; repeated rows are documents of their own; other columns
     are ignored and an empty table gives an empty one. A source misses its target by less than its longest
     document.
     """
-    rows = staged(sized(docs, id_col, text_col, source_col, odds_col), "sizes")
+    rows = staged(sized(docs, id_col, text_col, source_col, odds_col, carry), "sizes")
     targets = staged(source_targets(rows, weights, total, most).withColumnsRenamed({"source": "own"}).withColumn(
         "wanted", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).withColumn(
         "whole", F.floor("wanted")).withColumn("open", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
@@ -75,15 +75,15 @@ def mix(docs: DataFrame, seed: int = 0, weights=WEIGHTS, total: float = TOTAL, m
     rank = F.when(share > 0, (u / (1 - u)) / (F.col("odds") * share / (1 - share)))
     spot = F.col("rank") / (1 + F.col("rank"))  # the same order within 0 and 1
     state = rows.join(targets, rows["source"].eqNullSafe(targets["own"])).select(
-        "doc_id", "source", "size", "source_size", "target", F.col("whole").alias("copies"), "open", rank.alias("rank")).withColumn(
+        "doc_id", "source", "size", "source_size", "target", F.col("whole").alias("copies"), "open", rank.alias("rank"), *carry).withColumn(
         "spot", spot).withColumn("bucket", F.floor(F.col("spot") * BUCKETS))
     state = staged(state.withColumn("free", F.col("spot").isNotNull() & (F.col("size") > 0)), "order")
     for _ in range(PASSES):
-        state = staged(_fill(state), "order")
-    return state.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+        state = staged(_fill(state, carry), "order")
+    return state.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *carry)
 
 
-def _fill(state: DataFrame) -> DataFrame:
+def _fill(state: DataFrame, carry: tuple) -> DataFrame:
     """One more copy for free documents, in order, while the middle of a document lies within the open words."""
     key = ["source_key", "bucket"]
     state = state.withColumn("source_key", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")))
@@ -101,4 +101,4 @@ def _fill(state: DataFrame) -> DataFrame:
     given = done.where("take").groupBy("source_key").agg(F.sum("size").alias("given"))
     return done.join(given, "source_key", "left").select(
         "doc_id", "source", "size", "source_size", "target", (F.col("copies") + F.col("take").cast("long")).alias("copies"),
-        (F.col("open") - F.coalesce("given", F.lit(0))).alias("open"), "rank", "spot", "bucket", (F.col("free") & ~F.col("take")).alias("free"))
+        (F.col("open") - F.coalesce("given", F.lit(0))).alias("open"), "rank", "spot", "bucket", *carry, (F.col("free") & ~F.col("take")).alias("free"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,34 @@ def measures(text: str) -> tuple:
             len(lines) - len(set(lines)), grams.repeat_words(words))
 
 
+def target_ratio(src: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED):
+    """Log-likelihood ratio of each gram bucket over (doc_id, text)."""
+    good = grams.label_sample(labels, max_trusted).where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id", F.lit(2).alias("target"))
+    marked = src.join(F.broadcast(good), "doc_id", "left").select(
+        F.col("text").cast("binary").alias("text"), (F.lit(1) + F.coalesce("target", F.lit(0))).alias("classes"))
+    raw, target = grams.corpus_counts(marked, 2)
+    return grams.log_ratio(target, raw)
+
+
+def judged(text: str, ratio, threshold: float = THRESHOLD) -> tuple:
+    """(the measures, base_failed, ratio, kept) of a text."""
+    m = measures(text)
+    failed = m[0] < MIN_WORDS or 100 * m[4] > MAX_REPEAT * m[0]
+    r = grams.mean_ratio(text.encode(), ratio)
+    return *m, failed, r, not failed and r >= threshold
+
+
+def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that quality_rules keeps, all their columns unchanged."""
+    ratio = target_ratio(texts(docs, id_col, text_col, binary=False), labels)
+
+    @F.pandas_udf("boolean")
+    def kept(column: pd.Series) -> pd.Series:
+        return column.map(lambda text: judged(text or "", ratio)[-1]).astype(bool)
+
+    return docs.where(kept(text_col))
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                   text_col: str = "text", max_trusted: int = MAX_TRUSTED) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept) per row.
@@ -36,18 +65,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     stay and are never trusted by a null; other columns are ignored; an empty table gives an empty one.
     """
     src = texts(docs, id_col, text_col, binary=False)
-    good = grams.label_sample(labels, max_trusted).where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id", F.lit(2).alias("target"))
-    marked = src.join(F.broadcast(good), "doc_id", "left").select(
-        F.col("text").cast("binary").alias("text"), (F.lit(1) + F.coalesce("target", F.lit(0))).alias("classes"))
-    raw, target = grams.corpus_counts(marked, 2)
-    ratio = grams.log_ratio(target, raw)
+    ratio = target_ratio(src, labels, max_trusted)
 
     def run(rows):
         for doc_id, text in rows:
-            m = measures(text)
-            failed = m[0] < MIN_WORDS or 100 * m[4] > MAX_REPEAT * m[0]
-            r = grams.mean_ratio(text.encode(), ratio)
-            yield doc_id, *m, failed, r, not failed and r >= threshold
+            yield doc_id, *judged(text, ratio, threshold)
 
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return map_rows(src, run, T.StructType([
