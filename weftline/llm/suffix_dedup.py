@@ -183,7 +183,8 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
     """(bucket, n, blob, rest): front-coded sorted runs; (digest, doc_id, text, start): strings of hot anchors."""
     def run(batch):
         held, n = [], 0
-        for doc_id, text, data, codes in batch:
+        for doc_id, text, packed, codes in batch:
+            data = zstandard.ZstdDecompressor().decompress(packed)
             at, hashes = anchors(data)
             code = _keys(hashes, buckets) * 2
             codes = np.array(codes, np.int64)
@@ -274,7 +275,7 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_spans(leads: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, text, start, end) over (doc_id, text, data, codes): spans to remove, overlapping ones included."""
+    """(doc_id, text, start, end) over (doc_id, text, packed, codes): spans to remove, overlapping ones included."""
     sent = staged(_send(leads, buckets), "runs")
     merged = sent.where("bucket IS NOT NULL").select("bucket", "n", "blob", "rest").groupBy("bucket").applyInPandas(
         _merged, "doc_id long, text long, start long, end long")
@@ -297,6 +298,15 @@ def _joined(starts, ends) -> list:
     return out
 
 
+def _packed(src: DataFrame) -> DataFrame:
+    """(doc_id, text, packed): the texts compressed, as they are about to be shuffled."""
+    def run(rows):
+        for doc_id, text, data in rows:
+            yield doc_id, text, zstandard.ZstdCompressor(level=1).compress(data)
+
+    return map_rows(src.select("doc_id", "text", "data"), run, "doc_id long, text long, packed binary")
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of docs.
 
@@ -314,14 +324,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     leads = staged(narrow.where("doc_id IS NOT NULL").groupBy("text", "check").agg(F.min("doc_id").alias("lead")), "leads")
     codes = staged(shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets), "codes")
     chosen = leads.select(F.col("lead").alias("doc_id"), "text").distinct().join(codes, "text")
-    spans = staged(repeated_spans(src.where(F.octet_length("data") >= LENGTH).join(chosen, ["doc_id", "text"]).select(
-        "doc_id", "text", "data", "codes"), buckets), "spans")
+    long = _packed(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)))
+    spans = staged(repeated_spans(long.join(chosen, ["doc_id", "text"]).select("doc_id", "text", "packed", "codes"), buckets), "spans")
     lists = spans.groupBy("doc_id", "text").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(
         "doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
 
     def cut(rows):
-        for doc_id, text, data, starts, ends in rows:
-            gone = _joined(starts, ends)
+        for doc_id, text, packed, starts, ends in rows:
+            data, gone = zstandard.ZstdDecompressor().decompress(packed), _joined(starts, ends)
             kept, at = hashlib.sha256(), 0
             for a, b in gone:
                 kept.update(data[at:a])
@@ -329,7 +339,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             kept.update(data[at:])
             yield doc_id, text, sum(b - a for a, b in gone), len(gone), kept.hexdigest()
 
-    done = map_rows(src.join(lists, ["doc_id", "text"]).select("doc_id", "text", "data", "starts", "ends"), cut, T.StructType([
+    done = map_rows(long.join(lists, ["doc_id", "text"]).select("doc_id", "text", "packed", "starts", "ends"), cut, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("text", T.LongType()), T.StructField("cut", T.LongType()),
         T.StructField("cuts", T.LongType()), T.StructField("cut_sha", T.StringType())]))
     done = done.groupBy("doc_id", "text").agg(*(F.first(c).alias(c) for c in ("cut", "cuts", "cut_sha")))  # repeated rows
