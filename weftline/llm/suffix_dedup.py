@@ -180,9 +180,13 @@ def _shared_with_last(rows: np.ndarray) -> np.ndarray:
 
 
 def _send(rows: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, n, blob, rest): front-coded sorted runs; (digest, doc_id, text, start): strings of hot anchors."""
+    """(bucket, n, blob, rest): front-coded sorted runs; (digest, doc_id, text, start, end): strings of hot anchors.
+
+    Of the holders of a hot string only the least document of a task is sent on with its digest; the strings
+    of the others are known to go and are sent as spans.
+    """
     def run(batch):
-        held, n = [], 0
+        held, n, least = [], 0, {}
         for doc_id, text, packed, codes in batch:
             data = zstandard.ZstdDecompressor().decompress(packed)
             at, hashes = anchors(data)
@@ -191,8 +195,24 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
             cold, hot = np.isin(code, codes), np.isin(code + 1, codes)
             if hot.any():
                 starts = np.unique((at[hot][:, None] - np.arange(SPAN)).ravel())
+                gone = []
                 for s in starts[(starts >= 0) & (starts <= len(data) - LENGTH)].tolist():
-                    yield None, None, None, None, xxhash.xxh3_128_digest(data[s:s + LENGTH]), doc_id, text, s
+                    digest = xxhash.xxh3_128_digest(data[s:s + LENGTH])
+                    known = least.get(digest)
+                    if known is None or doc_id < known[0]:
+                        least[digest] = (doc_id, text, [s])
+                        if known:
+                            yield from (span(*known[:2], x, x + LENGTH) for x in known[2])
+                    elif known[0] < doc_id:
+                        gone.append(s)
+                    elif known[1] == text:
+                        known[2].append(s)
+                    else:  # another text of the same id
+                        yield (*[None] * 4, digest, doc_id, text, s, s + LENGTH)
+                yield from (span(doc_id, text, a, b) for a, b in _joined(gone, [s + LENGTH for s in gone]))
+                if len(least) > RUN:
+                    yield from strings(least)
+                    least = {}
             if cold.any():
                 held.append((doc_id, text, data, at[cold], code[cold] >> 41))
                 n += int(cold.sum())
@@ -201,6 +221,14 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
                 held, n = [], 0
         if held:
             yield from runs(held)
+        yield from strings(least)
+
+    def span(doc_id, text, start, end):
+        return *[None] * 5, doc_id, text, start, end
+
+    def strings(least):
+        for digest, (doc_id, text, starts) in least.items():
+            yield from ((*[None] * 4, digest, doc_id, text, s, s + LENGTH) for s in starts)
 
     def runs(held):
         right, left, cols = [], [], []
@@ -219,9 +247,9 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
             lcp = _shared_with_last(part)
             rest = part[np.arange(LENGTH) >= lcp[:, None]].tobytes()
             blob = _pack(lcp.astype("u1"), cols[0][a:b].astype("u1"), cols[1][a:b].astype("u1"), *(cols[i][a:b].astype("<i8") for i in (2, 3, 4)), left[a:b])
-            yield int(cols[5][a]), b - a, blob, zstandard.ZstdCompressor(level=1).compress(rest), None, None, None, None
+            yield int(cols[5][a]), b - a, blob, zstandard.ZstdCompressor(level=1).compress(rest), *[None] * 5
 
-    return map_rows(rows, run, "bucket int, n int, blob binary, rest binary, digest binary, doc_id long, text long, start long")
+    return map_rows(rows, run, "bucket int, n int, blob binary, rest binary, digest binary, doc_id long, text long, start long, end long")
 
 
 def _front_decoded(lcp: np.ndarray, rest: bytes) -> np.ndarray:
@@ -279,10 +307,11 @@ def repeated_spans(leads: DataFrame, buckets: int) -> DataFrame:
     sent = staged(_send(leads, buckets), "runs")
     merged = sent.where("bucket IS NOT NULL").select("bucket", "n", "blob", "rest").groupBy("bucket").applyInPandas(
         _merged, "doc_id long, text long, start long, end long")
-    strings = sent.where("digest IS NOT NULL").select("digest", "doc_id", "text", "start")
+    known = sent.where("bucket IS NULL AND digest IS NULL").select("doc_id", "text", "start", "end")
+    strings = sent.where("digest IS NOT NULL").select("digest", "doc_id", "text", "start", "end")
     least = strings.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    hot = strings.join(least, "digest").where("least < doc_id").select("doc_id", "text", "start", (F.col("start") + LENGTH).alias("end"))
-    return merged.union(hot)
+    hot = strings.join(least, "digest").where("least < doc_id").select("doc_id", "text", "start", "end")
+    return merged.union(known).union(hot)
 
 
 # -- the operator -----------------------------------------------------------------------------------------
