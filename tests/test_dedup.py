@@ -161,3 +161,10 @@ def test_visited(spark):
     urls = spark.createDataFrame([("a",), ("b",), ("b",)], "url string")
     seen = spark.createDataFrame([("a",)], "url string")
     assert [r["url"] for r in dedup.visited_dedup(urls, seen).collect()] == ["b"]
+
+
+def test_keep_first_with_null_keys_and_scopes(spark):
+    rows = [(1, None, "s"), (2, None, "s"), (3, None, None), (4, "x", None), (5, "x", None), (6, "x", "s"), (7, " x", "s")]
+    df = spark.createDataFrame(rows, "id int, content string, source string")
+    assert {r["id"] for r in dedup.dedup_exact(df).collect()} == {1, 4}
+    assert {r["id"] for r in dedup.dedup_exact(df, scope=["source"]).collect()} == {1, 3, 4, 6}

@@ -103,3 +103,16 @@ def test_long_texts_stay_linear(column):
     assert len(column(T.remove_emails, "x" * 200_000)[0]) == 200_000
     assert column(T.sentence_count, "a. " * 100_000) == [100_001]
     assert math.isfinite(column(T.flesch_reading_ease, "word " * 100_000)[0])
+
+
+def test_unbroken_runs_stay_linear(spark, column):
+    import base64
+    import time
+
+    from weftline.functions import text as T
+
+    for value in ("漢字" * 50_000, base64.b64encode(bytes(range(256)) * 293).decode()):
+        column(T.flesch_reading_ease, value[:10])
+        start = time.perf_counter()
+        column(T.flesch_reading_ease, value)
+        assert time.perf_counter() - start < 2

@@ -21,12 +21,19 @@ LEADERS = 16  # rows per bucket that the others are compared with in one round
 
 
 def keep_first(df: DataFrame, key, order_by: str, scope=None) -> DataFrame:
+    """The first row of each key by a unique column.
+
+    Only the ids of repeats, the lesser part, are joined to the table; Spark broadcasts them where they
+    are few by its own check. Null keys and scopes are a group like any other.
+    """
     scope = list(scope or ())
-    firsts = (
-        df.select(*scope, key.alias("_key"), order_by)
-        .groupBy(*scope, "_key").agg(F.min(order_by).alias(order_by))
-    )
-    return df.join(firsts.select(order_by), order_by, "left_semi")
+    names = [f"_key{i}" for i in range(len(scope) + 1)]
+    keyed = df.select(*(F.col(c).alias(n) for c, n in zip(scope, names)), key.alias(names[-1]), order_by)
+    repeated = keyed.groupBy(*names).agg(F.min(order_by).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    repeated = repeated.select(*(F.col(n).alias(f"{n}r") for n in names), "_first")
+    same = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
+    gone = keyed.join(repeated, same).where(F.col(order_by) > F.col("_first")).select(order_by)
+    return df.join(gone, order_by, "left_anti")
 
 
 def dedup_exact(df: DataFrame, col: str = "content", order_by: str = "id", scope=None,

@@ -16,13 +16,35 @@ VERDICT = "struct<language:string,confidence:double>"
 
 # Frequent words of each language, enough for a first profile without labelled text.
 COMMON_WORDS = {
-    "en": "the of and to in is that it for was on with as are this be at by not have from or which test english language",
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como más pero sus este lengua prueba",
-    "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont avec langue essai",
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden sprache",
-    "it": "di e il la che in un è per una sono con del non si da le dei nel alla della ma come anche più lingua prova",
-    "pt": "de a o que e do da em um para com não uma os no se na por mais as dos como mas ao ele das língua teste",
-    "nl": "de het een van en in is dat op te zijn met voor niet aan er die om ook als maar bij door wordt taal",
+    "en": (
+        "the of and to in is that it for was on with as are this be at by not have from or which had he "
+        "her his she they we you were been has their there what when who will would can could one all "
+        "some more about into than them its our out up so if no only other time these those between "
+        "after such because most made many through over where"),
+    "es": (
+        "de la que el en y a los se del las un por con no una su para es al lo como más pero sus este "
+        "fue ser son está entre cuando muy sin sobre también me hasta hay donde quien desde todo nos "
+        "durante todos uno les ni contra otros ese eso ante ellos e esto"),
+    "fr": (
+        "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont "
+        "avec été être ont cette aux mais on comme tout nous sa fait ses elle leur aussi bien deux même "
+        "où ces après sans autres entre ou si y était"),
+    "de": (
+        "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an "
+        "werden sie ich war hat dass nach wird bei einer um am sind noch wie einem über einen so zum aus "
+        "zur nur vor oder aber kann wenn man wir mehr durch"),
+    "it": (
+        "di e il la che in un è per una sono con del non si da le dei nel alla della ma come anche più "
+        "suo al lo gli i delle ha era dal loro essere stato hanno o se sua questo quando tutti tra due "
+        "fu ai dopo"),
+    "pt": (
+        "de a o que e do da em um para com não uma os no se na por mais as dos como mas ao ele das foi à "
+        "seu sua ou ser quando muito há já está eu também só pelo pela até isso ela entre era depois sem "
+        "mesmo aos ter seus"),
+    "nl": (
+        "de het een van en in is dat op te zijn met voor niet aan er die om ook als maar bij door wordt "
+        "hij ze haar had was of naar nog dan zo uit heeft hebben wat kan zou meer geen worden deze tot "
+        "onder tegen na dit al zich over hun"),
 }
 
 

@@ -144,7 +144,9 @@ def train_bpe(df: DataFrame, merges: int, col: str = "content", cut_every: int =
 
 def bpe_pieces(words, merges: DataFrame):
     """Pieces of each word of an array<string> column under the merges, in one flat array."""
-    order = [(r["left"], r["right"]) for r in merges.orderBy("rank").limit(MAX_VOCAB).collect()]
+    if merges.count() > MAX_VOCAB:
+        raise ValueError(f"more than {MAX_VOCAB} merges")
+    order = [(r["left"], r["right"]) for r in merges.orderBy("rank").collect()]
 
     def pieces(word):
         symbols = F.concat(F.lit(" "), F.array_join(F.split(word, ""), " "), F.lit(" "))

@@ -332,7 +332,7 @@ def _(t):
 
 @query("sorted_shards", f"WITH {SHARDED} SELECT DISTINCT split, shard_id FROM ranked")
 def _(t):
-    return sharded(t).select("split", "shard_id").distinct().orderBy("split", "shard_id")
+    return sharded(t).select("split", "shard_id").distinct().orderBy("split", F.col("shard_id").cast("long"))
 
 
 @query("doc_tokens_join", f"WITH {C.coded(VOCAB)} SELECT CAST(doc_id AS VARCHAR) AS id, source, CAST(n AS INTEGER) AS token_count FROM toks JOIN documents USING (doc_id)")

@@ -16,18 +16,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """df over all cores when it comes in fewer files than there are cores; a no-op on big tables."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
     @property
     def texts(self) -> DataFrame:
-        return self.spread(self.documents)
+        return self.documents
 
     @property
     def html(self) -> DataFrame:
-        return self.spread(self.pages)
+        return self.pages
 
     @property
     def raw(self) -> DataFrame:

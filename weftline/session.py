@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,12 @@ def build_session(app: str = "weftline", master: str | None = None, **conf) -> S
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches, named by the cluster in spark.checkpoint.dir.
 
-    A machine-local folder is used only where the master itself is local.
+    Whoever makes the session sets it, or the context's checkpoint folder, also in local mode.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="weftline-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

@@ -78,7 +78,7 @@ def write_split_manifest(df: DataFrame, path: str, created_at: str, version: str
     entry = F.struct("shard_id", "documents", "tokens", "languages", "avg_quality", "created_at")
 
     def by_id(a, b):
-        return F.when(a["shard_id"] < b["shard_id"], F.lit(-1)).when(a["shard_id"] > b["shard_id"], F.lit(1)).otherwise(F.lit(0))
+        return F.signum(a["shard_id"].cast("long") - b["shard_id"].cast("long")).cast("int")
 
     manifest = shards.groupBy("split").agg(
         F.lit(version).alias("version"), F.lit(created_at).alias("created_at"),
