@@ -81,20 +81,23 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class PieceIds(dict):
-    """piece -> its ids as little-endian bytes, found by the library."""
+    """piece -> its ids as little-endian bytes, found by the library; a text's new pieces are encoded together."""
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
         self.vocab, self.kind = vocab, f"<u{vocab.width}"
 
-    def __missing__(self, piece):
-        ids = np.array(self.vocab.library.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(self) < MEMO and len(piece) <= LONGEST_MEMO:
-            self[piece] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.vocab.pieces(text)))
+        pieces = self.vocab.pieces(text)
+        known = list(map(self.get, pieces))
+        if None in known:
+            new = list({p: None for p, ids in zip(pieces, known) if ids is None})
+            found = self.vocab.library.encode_batch_fast(new, add_special_tokens=False)
+            extra = {p: np.array(x.ids, self.kind).tobytes() for p, x in zip(new, found)}
+            known = [extra[p] if ids is None else ids for p, ids in zip(pieces, known)]
+            if len(self) < MEMO:
+                self.update((p, ids) for p, ids in extra.items() if len(p) <= LONGEST_MEMO)
+        return b"".join(known)
 
 
 class PieceCounts(dict):
