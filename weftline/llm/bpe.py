@@ -14,7 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 300_000     # pieces a worker remembers; the others are worked out again
+MEMO = 800_000     # pieces a worker remembers; the others are worked out again
+PAIRS = 1_200_000  # pairs of tokens whose fit a worker remembers
 LONGEST_MEMO = 64  # bytes
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(f"[\\t-\\r -~{_LETTER}¡«»¿‐-‧]*").fullmatch
@@ -134,7 +135,7 @@ class PieceCounts(dict):
                 fit = fits.get((before, part))
                 if fit is None:
                     fit = self.vocab.merged(before + part) == ([before, part] if before else [part])
-                    if len(fits) < 4 * MEMO:
+                    if len(fits) < PAIRS:
                         fits[before, part] = fit
                 if fit:
                     last.append(len(part))
