@@ -37,6 +37,14 @@ def test_language(spark, profiles):
     assert rows[0]["language_confidence"] > 0.7 and rows[5]["language_confidence"] == 0.0
 
 
+def test_confidence_falls_for_what_no_profile_knows(spark, profiles):
+    known = [ENGLISH, "El gobierno decidió ayer que las nuevas reglas de tráfico se aplicarán en toda la ciudad."]
+    strange = ["Rząd zdecydował wczoraj, że nowe przepisy ruchu drogowego będą obowiązywać w całym mieście.",
+               "xkcd qwrt zxvb nmpl krtw bcdf ghjk lmnp qrst vwxz kjhg fdsw zxcv bnmk"]
+    rows = language.detect_language(raw(spark, known + strange + [strange[1] * 200]), profiles).orderBy(F.col("id").cast("int")).collect()
+    assert [r["language_confidence"] > 0.7 for r in rows] == [True, True, False, False, False]
+
+
 def test_oversized_profiles_are_refused(spark, monkeypatch):
     monkeypatch.setattr(language, "MAX_PROFILE", 3)
     with pytest.raises(ValueError):

@@ -12,6 +12,8 @@ from weftline.operators.rank import top_per_group
 
 GRAMS = 2_000        # most frequent n-grams kept per language and length
 MAX_PROFILE = 300_000  # rows of a profile table that may travel inside a task
+EVIDENCE = 20  # characters a text counts as at most when languages are weighed: its n-grams overlap
+FIT, STEEP = 0.70, 40.0  # share of a language's own log likelihood at which a text is as likely another's
 VERDICT = "struct<language:string,confidence:double>"
 
 # Frequent words of each language, enough for a first profile without labelled text.
@@ -140,7 +142,10 @@ def load_profiles(profiles: DataFrame) -> dict:
             table[spot[gram], at[lang]] = logp
         codes = np.array([_grams(_codes(g), len(g))[0] for g in grams], np.int64)
         order = np.argsort(codes)
-        sizes[int(n)] = (codes[order], table[np.append(order, len(grams))])
+        weight = np.exp(part["logp"])
+        own = (weight * part["logp"]).groupby(part["lang"]).sum() / weight.groupby(part["lang"]).sum()
+        room = np.array([own.get(lang, 0.0) - floor.get(lang, 0.0) for lang in langs])
+        sizes[int(n)] = (codes[order], table[np.append(order, len(grams))], room)
     return {"langs": langs, "sizes": sizes}
 
 
@@ -161,8 +166,12 @@ def _between(codes, *spans):
 
 
 def detect(c, profiles: dict, prefix: int | None = None):
-    """struct<language, confidence>: the most probable language and its posterior share.
+    """struct<language, confidence>: the most probable language and how sure that is.
 
+    The confidence is the language's share among the profiles, for a text of at most EVIDENCE characters
+    at the text's mean log likelihood, times the chance that the text is of that language at all: how far
+    its log likelihood lies from that of unseen n-grams (0) to that of the language's own (1), by a
+    logistic curve around FIT. A script that only one language uses gives its share of the letters.
     `prefix` limits the reading to the first characters. A text without letters is
     ('unknown', 0.0); a missing text stays NULL. Deterministic.
     """
@@ -180,17 +189,20 @@ def detect(c, profiles: dict, prefix: int | None = None):
         known = _script(scripts, total)
         if known:
             return known
-        score = np.zeros(len(langs))
-        for n, (keys, table) in sizes.items():
+        score, above, room = np.zeros((3, len(langs)))
+        for n, (keys, table, own) in sizes.items():
             if len(codes) < n:
                 continue
             grams = _grams(codes, n)
             at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
             hits = np.bincount(np.where(keys[at] == grams, at, len(keys)), minlength=len(keys) + 1)
             score += hits @ table
-        share = np.exp(score - score.max())
+            above += hits @ (table - table[-1])
+            room += len(grams) * own
+        share = np.exp((score - score.max()) * min(1.0, EVIDENCE / len(codes)))
         best = int(np.argmax(score))
-        return langs[best], float(share[best] / share.sum())
+        fit = above[best] / room[best] if room[best] > 0 else 0.0
+        return langs[best], float(share[best] / share.sum() / (1 + np.exp(-STEEP * (fit - FIT))))
 
     @F.pandas_udf(VERDICT)
     def judge(texts: pd.Series) -> pd.DataFrame:

@@ -37,11 +37,6 @@ def _(t):
     return filters.filter_language(detected(t), ("en", "zh", "fr", "ja", "ko", "ru")).select("doc_id")
 
 
-@query("filter_lang_confidence", "SELECT doc_id, lang AS language FROM documents")
-def _(t):
-    return filters.filter_lang_confidence(detected(t)).select("doc_id", "language")
-
-
 @query("filter_quality", f"WITH {C.SCORED} SELECT doc_id FROM scored WHERE q >= 0.6")
 def _(t):
     return filters.filter_quality(t.texts.withColumn("quality_score", S.quality_score(T.strip("text")))).select("doc_id")
@@ -143,19 +138,31 @@ def _(t):
     return p.select("lang", "gram", "n", F.round("logp", 6).alias("logp"))
 
 
-@query("detect_language", f"""WITH {_PROFILES},
-floors AS (SELECT lang, n, min(logp) AS logp FROM profiles GROUP BY lang, n),
+_DETECTED = f"""floors AS (SELECT lang, n, min(logp) AS logp, sum(exp(logp) * logp) / sum(exp(logp)) AS own FROM profiles GROUP BY lang, n),
 tf AS (SELECT doc_id, n, gram, count(*) AS c FROM grams GROUP BY ALL),
-score AS (SELECT doc_id, f.lang, sum(tf.c * coalesce(p.logp, f.logp)) AS s
+score AS (SELECT doc_id, f.lang, sum(tf.c * coalesce(p.logp, f.logp)) AS s, sum(tf.c) FILTER (tf.n = 1) AS size,
+  sum(tf.c * (coalesce(p.logp, f.logp) - f.logp)) / sum(tf.c * (f.own - f.logp)) AS fit
   FROM tf JOIN floors f ON f.n = tf.n LEFT JOIN profiles p ON p.lang = f.lang AND p.n = tf.n AND p.gram = tf.gram
   GROUP BY doc_id, f.lang),
-best AS (SELECT doc_id, max(s) AS top, arg_max(lang, s) AS language FROM score GROUP BY doc_id)
-SELECT doc_id, language, round(1 / sum(exp(s - top)), 6) AS language_confidence
-FROM score JOIN best USING (doc_id) GROUP BY doc_id, language""")
+best AS (SELECT doc_id, max(s) AS top, arg_max(lang, s) AS language, arg_max(fit, s) AS fit FROM score GROUP BY doc_id),
+detected AS (SELECT doc_id, language, 1 / sum(exp((s - top) * least(1, {language.EVIDENCE}::DOUBLE / size)))
+  / (1 + exp(-{language.STEEP}::DOUBLE * (best.fit - {language.FIT}::DOUBLE))) AS confidence
+  FROM score JOIN best USING (doc_id) GROUP BY doc_id, language, best.fit)"""
+
+
+@query("detect_language", f"WITH {_PROFILES}, {_DETECTED} SELECT doc_id, language, round(confidence, 6) AS language_confidence FROM detected")
 def _(t):
     return detected(t).select("doc_id", "language", F.round("language_confidence", 6).alias("language_confidence"))
 
 
+# the profile of one language: what is written in others falls below the bound
+@query("filter_lang_confidence", f"WITH {_PROFILES.replace('profiles AS (SELECT', 'every AS (SELECT')}, "
+       f"profiles AS (SELECT * FROM every WHERE lang = 'en'), {_DETECTED} SELECT doc_id, language FROM detected WHERE confidence >= 0.7")
+def _(t):
+    known = language.load_profiles(language.fit_language_profiles(t.texts.where("lang = 'en'")))
+    return filters.filter_lang_confidence(language.detect_language(t.texts, known, "text")).select("doc_id", "language")
+
+
 @query("quality_model_score")
 def _(t):
     labelled = t.texts.join(t.labels.select("doc_id", "quality"), "doc_id")
