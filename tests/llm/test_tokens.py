@@ -32,6 +32,20 @@ def test_counts_and_ids_equal_the_library(library):
         assert counts.total(text) == len(want), text
 
 
+def test_least_id_first_is_least_rank_first():
+    vocab = bpe.vocabulary(PATH)
+    assert vocab.quick and all(vocab.merged(token) == [token] for token in vocab.ids)
+
+
+def test_plain_texts_equal_the_library(library):
+    vocab, rng = bpe.vocabulary(PATH), random.Random(5)
+    runs = [c * n for c in ("a", " ", "\n", "#", "7", "'s", "ab ", "é", " \t") for n in (1, 2, 499, 500, 70_000)]
+    mixed = ["".join(rng.choice(["<|endoftext|>", "<|", "don't", "  ", "\n\n", "x9", "ÀÿƟ", "--", "\x0b\x0c", "…"]) for _ in range(30)) for _ in range(300)]
+    for text in runs + mixed:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert vocab.plain_ids(text).tolist() == want, text[:80]
+
+
 def test_every_prefix_and_budget(library):
     counts = bpe.piece_counts(PATH)
     for text in [t for t in ODD if len(t) < 100] + noise()[:40]:
