@@ -32,6 +32,7 @@ SPAN = LENGTH - GRAM + 1      # grams of a string, and one more than the bytes b
 HOT = 4096                    # suffixes of one anchor that are merged in one task
 CHUNK = 1 << 20
 RUN = 100_000                 # suffixes a task sorts at once
+LEVEL = 3                     # of compression where texts and suffixes are shuffled
 RUN_DOCS = 2_000              # texts whose anchors a task looks through at once
 HOT_BROADCAST = 1_000_000     # hot anchors that travel to every task, 8 bytes each
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -169,7 +170,7 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
 # -- sorted runs of suffixes, merged ---------------------------------------------------------------------
 
 _LEFT = SPAN - 1
-_KINDS = [("u1", 1), ("u1", 1), ("u1", 1), ("<i8", 1), ("<i8", 1), ("<i8", 1), ("u1", _LEFT)]
+_KINDS = [("u1", 1), ("u1", 1), ("u1", 1), ("<i8", 1), ("<i8", 1), ("<i8", 1)]
 
 
 def _shared_with_last(rows: np.ndarray) -> np.ndarray:
@@ -246,8 +247,9 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
             part = right[a:b]
             lcp = _shared_with_last(part)
             rest = part[np.arange(LENGTH) >= lcp[:, None]].tobytes()
-            blob = _pack(lcp.astype("u1"), cols[0][a:b].astype("u1"), cols[1][a:b].astype("u1"), *(cols[i][a:b].astype("<i8") for i in (2, 3, 4)), left[a:b])
-            yield int(cols[5][a]), b - a, blob, zstandard.ZstdCompressor(level=1).compress(rest), *[None] * 5
+            blob = _pack(lcp.astype("u1"), cols[0][a:b].astype("u1"), cols[1][a:b].astype("u1"), *(cols[i][a:b].astype("<i8") for i in (2, 3, 4)))
+            # whole rows of what stands to the left: copies repeat them
+            yield int(cols[5][a]), b - a, blob, zstandard.ZstdCompressor(level=LEVEL).compress(left[a:b].tobytes() + rest), *[None] * 5
 
     return map_rows(rows, run, "bucket int, n int, blob binary, rest binary, digest binary, doc_id long, text long, start long, end long")
 
@@ -268,8 +270,9 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     runs = []
     for n, blob, rest in zip(group.n, group.blob, group.rest):
         lcp, *cols = _unpack(blob, n, _KINDS)
-        right = _front_decoded(lcp.astype(np.int64), zstandard.ZstdDecompressor().decompress(rest))
-        runs.append((right, lcp, cols))
+        both = zstandard.ZstdDecompressor().decompress(rest)
+        left = np.frombuffer(both, np.uint8, n * _LEFT).reshape(n, _LEFT)
+        runs.append((_front_decoded(lcp.astype(np.int64), both[n * _LEFT:]), lcp, [*cols, left]))
     strings = [[x.tobytes() for x in r[0]] for r in runs]
     order, lcp = merge(strings, [r[1].tolist() for r in runs])
     order, lcp = np.array(order), np.array(lcp)
@@ -331,7 +334,7 @@ def _packed(src: DataFrame) -> DataFrame:
     """(doc_id, text, packed): the texts compressed, as they are about to be shuffled."""
     def run(rows):
         for doc_id, text, data in rows:
-            yield doc_id, text, zstandard.ZstdCompressor(level=1).compress(data)
+            yield doc_id, text, zstandard.ZstdCompressor(level=LEVEL).compress(data)
 
     return map_rows(src.select("doc_id", "text", "data"), run, "doc_id long, text long, packed binary")
 
@@ -351,7 +354,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                F.sha2("data", 256).alias("sha")), "texts")
     # equal texts: the least id stands for all
     leads = staged(narrow.where("doc_id IS NOT NULL").groupBy("text", "check").agg(F.min("doc_id").alias("lead")), "leads")
-    codes = staged(shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets), "codes")
+    codes = shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets)
     chosen = leads.select(F.col("lead").alias("doc_id"), "text").distinct().join(codes, "text")
     long = _packed(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)))
     spans = staged(repeated_spans(long.join(chosen, ["doc_id", "text"]).select("doc_id", "text", "packed", "codes"), buckets), "spans")
