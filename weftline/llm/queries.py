@@ -95,7 +95,7 @@ def op6(spark, folder):
 
 @query("op7_secret_scan")
 def op7(spark, folder):
-    return secrets_scan.scan(table(spark, folder, "documents"))
+    return secrets_scan.scan(table(spark, folder, "documents"), by_window=True)
 
 
 @query("op9_lm_attention")
