@@ -15,7 +15,6 @@ WHITE = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MAX_REPEAT = 50      # percent of the words
 THRESHOLD = -0.2     # log-likelihood ratio a gram; a text below it is less like the target than like the raw corpus
-MAX_TRUSTED = 100_000  # labelled documents that the target is estimated from, about
 
 
 def measures(text: str) -> tuple:
@@ -26,10 +25,10 @@ def measures(text: str) -> tuple:
             len(lines) - len(set(lines)), grams.repeat_words(words))
 
 
-def target_ratio(src: DataFrame, labels: DataFrame, max_trusted: int = MAX_TRUSTED):
-    """Log-likelihood ratio of each gram bucket over (doc_id, text)."""
-    good = grams.label_sample(labels, max_trusted).where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id", F.lit(2).alias("target"))
-    marked = src.join(F.broadcast(good), "doc_id", "left").select(
+def target_ratio(src: DataFrame, labels: DataFrame):
+    """Log-likelihood ratio of each gram bucket over (doc_id, text); all trusted documents count, however many."""
+    good = grams.label_rows(labels).where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id", F.lit(2).alias("target"))
+    marked = src.join(good.hint("shuffle_hash"), "doc_id", "left").select(
         F.col("text").cast("binary").alias("text"), (F.lit(1) + F.coalesce("target", F.lit(0))).alias("classes"))
     raw, target = grams.corpus_counts(marked, 2)
     return grams.log_ratio(target, raw)
@@ -55,17 +54,17 @@ def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                  text_col: str = "text", max_trusted: int = MAX_TRUSTED) -> DataFrame:
+                  text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept) per row.
 
-    The target multinomial comes from documents labelled quality 1 and not toxic (about `max_trusted` of
-    them), the raw one from all documents. `ratio` is the log-likelihood ratio of the text's hashed byte
+    The target multinomial comes from all documents labelled quality 1 and not toxic, the raw one from
+    all documents. `ratio` is the log-likelihood ratio of the text's hashed byte
     4-grams, divided by their number; kept needs base_failed false and a ratio of at least `threshold`.
     Without labels the ratio is 0. Null texts are empty and fail the base rule; null ids and repeated rows
     stay and are never trusted by a null; other columns are ignored; an empty table gives an empty one.
     """
     src = texts(docs, id_col, text_col, binary=False)
-    ratio = target_ratio(src, labels, max_trusted)
+    ratio = target_ratio(src, labels)
 
     def run(rows):
         for doc_id, text in rows:
