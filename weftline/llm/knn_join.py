@@ -100,8 +100,8 @@ def knn_join(rows: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS,
     # summaries: at most `pivots` rows, and k + 1 near rows of different ids for each
     cells = data.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect()
     ids = data.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
-    near = top_per_group(ids, "cell", ["dist", "vec_id"], k + 1, "vec_id").select("cell", "dist").collect()
-    near_cell, near_dist = np.array([r["cell"] for r in near]), np.array([r["dist"] for r in near])
+    near = top_per_group(ids, "cell", ["dist", "vec_id"], k + 1, "vec_id").select("cell", "dist", "vec_id").collect()
+    near_cell, near_dist, near_id = (np.array([r[n] for r in near]) for n in ("cell", "dist", "vec_id"))
     cell_ids = np.array([r["cell"] for r in cells])
     low, high = np.array([r["low"] for r in cells]), np.array([r["high"] for r in cells])
     slack = 1e-6 * (1 + np.sqrt(reach))
@@ -114,7 +114,9 @@ def knn_join(rows: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS,
                 continue
             d = far(v, np.zeros(len(v)))
             bound = d[:, near_cell] + near_dist
-            limit = np.partition(bound, k, axis=1)[:, k] if bound.shape[1] > k else np.full(len(v), np.inf)
+            # rows of the query's own id are no results, whichever cells they are in
+            bound[batch.column(0).to_numpy(zero_copy_only=False)[:, None] == near_id] = np.inf
+            limit = np.partition(bound, k - 1, axis=1)[:, k - 1] if bound.shape[1] >= k else np.full(len(v), np.inf)
             gap = np.maximum(d[:, cell_ids] - high, low - d[:, cell_ids])
             q, c = np.nonzero(gap <= (limit * (1 + 1e-9) + slack)[:, None])
             yield pa.RecordBatch.from_arrays([pa.array(cell_ids[c].astype(np.int32)), batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q))],
