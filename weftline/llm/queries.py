@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from weftline.llm import (
-    knn_join, lm_scoring, mixing, packing, quality_classifier, quality_rules, secrets_scan, simhash_dedup, suffix_dedup,
-    token_counts,
+    chunk_dedup, knn_join, lexical_search, lm_scoring, mixing, packing, quality_classifier, quality_rules, resampling, secrets_scan,
+    simhash_dedup, suffix_dedup, token_counts,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,3 +106,56 @@ def op9(spark, folder):
 @query("op10_suffix_dedup")
 def op10(spark, folder):
     return suffix_dedup.suffix_dedup(table(spark, folder, "documents"))
+
+
+# crc32 by its table over the bytes of each distinct word; the tables are those of the polynomial 0xEDB88320
+RESAMPLE_SQL = """
+WITH tab AS (SELECT list_transform(range(256), lambda v: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v)) AS t),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+f AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM d) GROUP BY ALL),
+g AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY ALL),
+h AS (SELECT word, xor(list_reduce(list_transform(range(octet_length(encode(word))), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT),
+  lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM f UNION SELECT word FROM g), tab),
+s AS (SELECT bucket, sum(n)::BIGINT AS n FROM f JOIN h USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS n FROM g JOIN h USING (word) GROUP BY bucket),
+gain AS (SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s)::DOUBLE + 10000) / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0)::DOUBLE + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight FROM f JOIN h USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+x AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM x WHERE n_features >= 20)
+SELECT x.*, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM x LEFT JOIN r USING (doc_id)"""
+
+
+@query("op11_importance_resample", RESAMPLE_SQL)
+def op11(spark, folder):
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_exact_chunk_dedup", """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256 FROM n""")
+def op12(spark, folder):
+    return chunk_dedup.exact_dedup(table(spark, folder, "documents"))
+
+
+SEARCH_SQL = """
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT term, doc_id, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, a GROUP BY term, docs),
+m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM n, a),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"""
+
+
+@query("op13_pipelined_search", SEARCH_SQL)
+def op13(spark, folder):
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
