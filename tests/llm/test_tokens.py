@@ -91,3 +91,13 @@ def test_packing_round_trip(spark, library):
         assert at == (64 if k < total // 64 else total % 64)
     pieces = sorted((str(r["doc_id"]), r["start"]) for r in got)
     assert len(pieces) == len(got) and packing.pack(df.limit(0), PATH).collect() == []
+
+
+def test_millions_of_white_space_characters(spark):
+    vocab = bpe.vocabulary(PATH)
+    texts = ["a" + " " * 1_500_000 + "b c", "\n" * 3_000_000, "x " + "\t " * 600_000 + "y"]
+    for text in texts:
+        ids = vocab.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(bpe.PieceIds(vocab).encode(text), vocab.kind).tolist() == ids
+    rows = packing.pack(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), PATH).collect()
+    assert sum(r["length"] for r in rows) == sum(len(vocab.library.encode(t, add_special_tokens=False).ids) + 1 for t in texts)

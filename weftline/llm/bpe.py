@@ -20,9 +20,11 @@ import numpy as np
 MEMO = 800_000     # pieces a worker remembers; the others are worked out again
 PAIRS = 1_200_000  # pairs of tokens whose fit a worker remembers
 LONGEST_MEMO = 64  # bytes
+SPACE_RUN = 10_000  # white-space characters in a row beyond which tiktoken's pattern could outgrow its stack
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(f"[\\t-\\r -~{_LETTER}¡«»¿‐-‧]*").fullmatch
 GPT_PIECES = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG_SPACE = re.compile(r"\s{%d}" % SPACE_RUN).search
 PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s{_LETTER}0-9]+|\\s+(?!\\S)|\\s+").findall
 
 
@@ -56,8 +58,8 @@ class Vocabulary:
                                        special_tokens=self.special) if in_order else None
 
     def plain_ids(self, text: str) -> np.ndarray | None:
-        """The ids of a text of plain Latin characters; None for other texts and vocabularies."""
-        if self.quick and PLAIN(text):
+        """The ids of a text of plain Latin characters; None for other texts, very long white space and vocabularies."""
+        if self.quick and PLAIN(text) and not (len(text) >= SPACE_RUN and LONG_SPACE(text)):
             return self.quick.encode_to_numpy(text, allowed_special="all").astype(self.kind)
         return None
 
