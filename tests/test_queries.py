@@ -44,3 +44,21 @@ def test_query_runs(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+STREAMS = ["stream_ingest_clean", "stream_dedup", "periodic_flush", "stream_metrics_window"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_read_folders_of_parts(spark, db, tmp_path, name):
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    got = rows(entry.queries()[name](spark, str(tmp_path)).toPandas())
+    assert got == rows(db.sql(entry.oracle_sql()[name]).df())
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_of_empty_tables(spark, tmp_path, name):
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
+    assert entry.queries()[name](spark, str(tmp_path)).count() == 0

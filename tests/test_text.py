@@ -116,3 +116,12 @@ def test_unbroken_runs_stay_linear(spark, column):
         start = time.perf_counter()
         column(T.flesch_reading_ease, value)
         assert time.perf_counter() - start < 2
+
+
+def test_modules_travel_after_their_functions_were_used(column):
+    from pyspark import cloudpickle
+    from weftline.functions import scoring, sketch, text
+
+    column(sketch.simhash64, "a b"), column(scoring.char_entropy, "aab"), column(scoring.normalize_unicode, "é"), column(sketch.minhash_signature, "a b")
+    for module in (scoring, sketch, text):
+        assert cloudpickle.dumps(lambda: module)  # noqa: B023

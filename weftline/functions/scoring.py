@@ -12,7 +12,6 @@ from pyspark.sql.types import DoubleType
 from weftline.functions import text as T
 
 
-@F.pandas_udf(DoubleType())
 def _entropy(texts: pd.Series) -> pd.Series:
     def bits(text):
         if not text:
@@ -26,7 +25,7 @@ def _entropy(texts: pd.Series) -> pd.Series:
 
 def char_entropy(c):
     """Shannon bits per character; one pass over each text and no shuffle."""
-    return _entropy(T.col(c))
+    return F.pandas_udf(_entropy, DoubleType())(T.col(c))
 
 
 def entropy_score(entropy):

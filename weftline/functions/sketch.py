@@ -85,8 +85,7 @@ def band_keys(signature, bands: int, rows: int):
     ])
 
 
-@F.pandas_udf(LongType())
-def _simhash(docs: pd.Series) -> pd.Series:
+def _fingerprints(docs: pd.Series) -> pd.Series:
     shifts = np.arange(64, dtype=np.uint64)
 
     def fingerprint(tokens):
@@ -107,7 +106,8 @@ def _simhash(docs: pd.Series) -> pd.Series:
 
 def simhash64(c):
     """64 majority bits over the low md5 halves of all whitespace-separated tokens."""
-    return _simhash(F.regexp_extract_all(F.lower(T.col(c)), F.lit(f"([^{T.SPACE}]+)"), F.lit(1)))
+    simhash = F.pandas_udf(_fingerprints, LongType())  # made here: one that a module keeps holds the session once used
+    return simhash(F.regexp_extract_all(F.lower(T.col(c)), F.lit(f"([^{T.SPACE}]+)"), F.lit(1)))
 
 
 def simhash_keys(fingerprint, blocks: int = 6, differ: int = 3):

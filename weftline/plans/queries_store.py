@@ -342,16 +342,15 @@ def _(t):
 # -- streams --------------------------------------------------------------------------------------
 
 def doc_stream(t):
-    schema = t.documents.schema
-    docs = t.spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(t.folder)
-    return docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"), F.sha2("text", 256).alias("content_hash"))
+    return t.stream("documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"), F.sha2("text", 256).alias("content_hash"))
 
 
 @query("stream_ingest_clean", f"WITH {C.DOCS} SELECT CAST(doc_id AS VARCHAR) AS id, md5({C.clean('body')}) AS md5, CAST({C.count('body', T.WORD)} + {C.count('body', T.STOPS)} AS INTEGER) AS token_estimate FROM docs WHERE length(body) BETWEEN 500 AND 100000")
 def _(t):
     out = scratch_path(t.spark, "clean-stream")
     ingest.stream_ingest_clean(doc_stream(t), out, scratch_path(t.spark, "stream-state")).awaitTermination()
-    return t.spark.read.parquet(out).select("id", F.md5("content").alias("md5"), "token_estimate")
+    rows = writers.read_stream_output(t.spark, out, "id string, content string, token_estimate int")
+    return rows.select("id", F.md5("content").alias("md5"), "token_estimate")
 
 
 @query("stream_dedup", "SELECT DISTINCT sha256(text) AS content_hash FROM documents")
@@ -360,26 +359,25 @@ def _(t):
     firsts = ingest.stream_dedup(doc_stream(t))
     firsts.select("content_hash").writeStream.format("parquet").outputMode("append").option(
         "checkpointLocation", scratch_path(t.spark, "stream-state")).trigger(availableNow=True).start(out).awaitTermination()
-    return t.spark.read.parquet(out)
+    return writers.read_stream_output(t.spark, out, "content_hash string")
 
 
 @query("periodic_flush", "SELECT CAST(doc_id AS VARCHAR) AS id, sha256(text) AS content_hash FROM documents")
 def _(t):
     out = scratch_path(t.spark, "flush-stream")
     ingest.periodic_flush(doc_stream(t), out, scratch_path(t.spark, "stream-state")).awaitTermination()
-    return t.spark.read.schema("id string, content_hash string").json(out)
+    return writers.read_stream_output(t.spark, out, "id string, content_hash string", "json")
 
 
 @query("stream_metrics_window", "SELECT strftime(time_bucket(INTERVAL '10 seconds', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS reason, count(*) AS docs FROM events GROUP BY ALL")
 def _(t):
     out = scratch_path(t.spark, "metrics-stream")
-    schema = t.events.schema
-    arriving = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-    arriving = arriving.select("ts", F.col("event_type").alias("reason"))
+    arriving = t.stream("events").select("ts", F.col("event_type").alias("reason"))
 
     def keep_latest(batch, number):
         batch.write.mode("overwrite").parquet(out)
 
     ingest.metrics_window(arriving).writeStream.outputMode("complete").option(
         "checkpointLocation", scratch_path(t.spark, "stream-state")).foreachBatch(keep_latest).trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")
+    counts = writers.read_stream_output(t.spark, out, "window_start timestamp_ntz, reason string, docs bigint")
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")

@@ -16,6 +16,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stream(self, name: str) -> DataFrame:
+        """The table as a stream of its files, be it one file or a folder of parts."""
+        # as a pattern: a plain path would have to be a folder
+        return self.spark.readStream.schema(getattr(self, name).schema).parquet(f"{self.folder}/{{{name}}}.parquet")
+
     @property
     def texts(self) -> DataFrame:
         return self.documents

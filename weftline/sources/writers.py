@@ -120,3 +120,8 @@ def table_exists(spark, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_stream_output(spark, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """What a stream has written; no rows where it found nothing to write."""
+    return spark.read.schema(schema).format(fmt).load(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
