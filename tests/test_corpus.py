@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from weftline.config import Config, merge
 from weftline.functions.registry import register_language_detector, register_quality_scorer, register_tokenizer
-from weftline.operators import filters, language, quality, shard, stats, tokenize
+from weftline.operators import bpe, filters, language, quality, shard, stats, tokenize
 from weftline.operators.rank import ordered_totals, shuffle_key, top_per_group
 from weftline.plans.corpus import clean_corpus, shard_corpus
 
@@ -150,7 +150,7 @@ def test_pad_truncate_and_training_view(spark):
 
 def test_bpe_against_plain_python(spark):
     texts = ["low lower lowest", "newer newest low", "$a $a b.b"]
-    merges = [(r["left"], r["right"]) for r in tokenize.train_bpe(raw(spark, texts), 6).orderBy("rank").collect()]
+    merges = [(r["left"], r["right"]) for r in bpe.train_bpe(raw(spark, texts), 6).orderBy("rank").collect()]
     import collections
     import re
 
@@ -173,7 +173,7 @@ def test_bpe_against_plain_python(spark):
             split[w] = out
     assert merges == wanted
     table = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(merges)], "rank int, left string, right string")
-    got = spark.createDataFrame([(["lowest", "newer"],)], "w array<string>").select(tokenize.bpe_pieces("w", table).alias("p")).first()["p"]
+    got = spark.createDataFrame([(["lowest", "newer"],)], "w array<string>").select(bpe.bpe_pieces("w", table).alias("p")).first()["p"]
     assert got == split["lowest"] + split["newer"]
 
 

@@ -1,16 +1,13 @@
-"""Vocabulary, byte-pair merges and token arrays."""
+"""Word vocabulary and token arrays."""
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
-from weftline.session import cut
 
 # Special tokens, in id order.
 SPECIALS = ("<pad>", "<unk>", "<bos>", "<eos>")
@@ -95,63 +92,3 @@ def pad_truncate(df: DataFrame, max_length: int = 2048, pad_id: int = 0) -> Data
 
 def training_view(df: DataFrame) -> DataFrame:
     return df.select(F.col("tokens").alias("input_ids"), "attention_mask", F.col("tokens").alias("labels"))
-
-
-# -- byte-pair encoding ---------------------------------------------------------------------------
-
-# Symbols of a word stand between single spaces; a space never occurs inside a word.
-
-def _apply_merge(symbols, left: str, right: str):
-    pattern = f"(?<= ){re.escape(left)} {re.escape(right)}(?= )"
-    return F.regexp_replace(symbols, pattern, (left + right).replace("\\", "\\\\").replace("$", "\\$"))
-
-
-def word_symbols(df: DataFrame, col: str = "content") -> DataFrame:
-    """(token, n, symbols): each distinct word, its count and its characters."""
-    counts = df.select(F.explode(T.words(col)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    return counts.withColumn("symbols", F.concat(F.lit(" "), F.array_join(F.split("token", ""), " "), F.lit(" ")))
-
-
-def pair_counts(words: DataFrame) -> DataFrame:
-    """(left, right, n): adjacent symbols over all words, weighted by word count."""
-    parts = F.split(F.trim("symbols"), " ")
-    pairs = F.arrays_zip(F.slice(parts, 1, F.size(parts) - 1).alias("left"),
-                         F.slice(parts, 2, F.size(parts) - 1).alias("right"))
-    return (
-        words.where(F.length("token") > 1).select("n", F.explode(pairs).alias("p"))
-        .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(F.sum("n").alias("n"))
-    )
-
-
-def train_bpe(df: DataFrame, merges: int, col: str = "content", cut_every: int = 16) -> DataFrame:
-    """(rank, left, right, n): the most frequent adjacent pair of each round, ties by code point.
-
-    Rounds run over the table of distinct words; one row per round, the merge itself, reaches the
-    driver.
-    """
-    words = cut(word_symbols(df, col))
-    found = []
-    for rank in range(merges):
-        best = pair_counts(words).orderBy(F.desc("n"), "left", "right").first()
-        if best is None:
-            break
-        found.append((rank, best["left"], best["right"], best["n"]))
-        words = words.withColumn("symbols", _apply_merge(F.col("symbols"), best["left"], best["right"]))
-        if (rank + 1) % cut_every == 0:
-            words = cut(words)
-    return df.sparkSession.createDataFrame(found, "rank int, left string, right string, n bigint")
-
-
-def bpe_pieces(words, merges: DataFrame):
-    """Pieces of each word of an array<string> column under the merges, in one flat array."""
-    if merges.count() > MAX_VOCAB:
-        raise ValueError(f"more than {MAX_VOCAB} merges")
-    order = [(r["left"], r["right"]) for r in merges.orderBy("rank").collect()]
-
-    def pieces(word):
-        symbols = F.concat(F.lit(" "), F.array_join(F.split(word, ""), " "), F.lit(" "))
-        for left, right in order:
-            symbols = _apply_merge(symbols, left, right)
-        return F.split(F.trim(symbols), " ")
-
-    return F.flatten(F.transform(T.col(words), pieces))

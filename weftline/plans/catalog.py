@@ -117,6 +117,28 @@ toks AS (SELECT doc_id, lang, list(coalesce(token_id, 1) ORDER BY i) AS tokens,
   FROM pos LEFT JOIN vocab ON token = w WHERE i < {max_length} GROUP BY doc_id, lang HAVING count(*) >= {min_tokens})"""
 
 
+def bpe(merges, mark=""):
+    """base(w, n), st(rank, l, r, c, w, s, n): each word after every merge, symbols in angle brackets; merges(rank, l, r, c). Recursive."""
+    return f"""base AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT unnest({words('text')}) AS w FROM documents) GROUP BY w),
+st AS (SELECT 0 AS rank, NULL::VARCHAR AS l, NULL::VARCHAR AS r, NULL::BIGINT AS c, w, '<' || array_to_string(string_split('{mark}' || w, ''), '><') || '>' AS s, n FROM base
+  UNION ALL SELECT rank + 1, b.l, b.r, b.c, w, replace(s, '<' || b.l || '><' || b.r || '>', '<' || b.l || b.r || '>'), n
+  FROM st, (SELECT p.l, p.r, sum(n)::BIGINT AS c FROM (SELECT n, unnest(list_transform(list_zip(y[:-2], y[2:]), lambda z: struct_pack(l := z[1], r := z[2]))) AS p
+    FROM (SELECT n, string_split(s[2:-2], '><') AS y FROM st)) GROUP BY ALL ORDER BY c DESC, l, r LIMIT 1) b WHERE rank < {merges}),
+merges AS (SELECT DISTINCT rank, l, r, c FROM st WHERE rank > 0)"""
+
+
+def bpe_coded(merges, mark, max_length=2048, min_tokens=10):
+    """pieces(token, token_id), btoks(doc_id, tokens, n, decoded) over bpe."""
+    return f"""{bpe(merges, mark)},
+letters AS (SELECT ch AS token, 3 + row_number() OVER (ORDER BY ch) AS i FROM (SELECT DISTINCT unnest(string_split('{mark}' || w, '')) AS ch FROM base)),
+pieces AS (SELECT token, min(i) AS token_id FROM (SELECT * FROM letters UNION ALL SELECT l || r, 3 + (SELECT count(*) FROM letters) + rank FROM merges) GROUP BY token),
+coded AS (SELECT w, list(token_id ORDER BY i) AS ids FROM (SELECT w, unnest(string_split(s[2:-2], '><')) AS token, unnest(range(len(string_split(s[2:-2], '><')))) AS i
+  FROM st WHERE rank = {merges}) JOIN pieces USING (token) GROUP BY w),
+said AS (SELECT doc_id, unnest({words('text')}) AS w, unnest(range(len({words('text')}))) AS i FROM documents),
+btoks AS (SELECT *, len(tokens) AS n FROM (SELECT doc_id, flatten(list(ids ORDER BY i))[1:{max_length}] AS tokens, string_agg(w, ' ' ORDER BY i) AS said FROM said JOIN coded USING (w) GROUP BY doc_id)
+  WHERE len(tokens) >= {min_tokens})"""
+
+
 def ranked(src, key="doc_id", val=0.05, per_shard=64):
     """rank, total, split, position, shard_id over a relation; a string key like the Spark id."""
     return f"""r0 AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || {key}), CAST({key} AS VARCHAR)) AS rank,

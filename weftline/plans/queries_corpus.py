@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.config import Config, merge
 from weftline.functions import scoring as S, sketch, text as T
-from weftline.operators import dedup, filters, shard, stats, tokenize
+from weftline.operators import bpe, dedup, filters, shard, stats, tokenize
 from weftline.plans import catalog as C
 from weftline.plans.catalog import query
 from weftline.plans.corpus import clean_corpus, shard_corpus
@@ -247,9 +247,25 @@ def _(t):
                     F.size("attention_mask").cast("long").alias("ones"))
 
 
-@query("train_bpe")
+@query("train_bpe", f"WITH RECURSIVE {C.bpe(100)} SELECT CAST(rank - 1 AS INTEGER) AS rank, l AS \"left\", r AS \"right\", c AS n FROM merges")
 def _(t):
-    return tokenize.train_bpe(t.texts, 8, "text")
+    return bpe.train_bpe(t.texts, 100, "text")
+
+
+def bpe_coder(t, merges=60):
+    """Vocabulary and merges of the documents, with a mark before each word."""
+    found = bpe.train_bpe(t.texts, merges, "text", bpe.SPACE_MARK)
+    return bpe.bpe_vocab(t.texts, found, "text", bpe.SPACE_MARK), found
+
+
+@query("tokenize_bpe", f"""WITH RECURSIVE {C.bpe_coded(60, bpe.SPACE_MARK)}
+SELECT CAST(doc_id AS VARCHAR) AS id, md5(array_to_string(tokens, ',')) AS tokens, n::INTEGER AS token_count, CASE WHEN n < 2048 THEN md5(said) END AS text FROM btoks""")
+def _(t):
+    vocab, merges = bpe_coder(t)
+    docs = t.texts.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    rows = tokenize.tokenize(docs, bpe.bpe_tokenizer(vocab, merges, bpe.SPACE_MARK))
+    text = F.when(F.col("token_count") < 2048, F.md5(bpe.decoder(vocab, bpe.SPACE_MARK)("tokens")))
+    return rows.select("id", F.md5(F.array_join("tokens", ",")).alias("tokens"), "token_count", text.alias("text"))
 
 
 # -- order, split, shards -------------------------------------------------------------------------

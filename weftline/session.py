@@ -47,9 +47,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged_at(df: DataFrame, name: str) -> str:
+    """Write the rows to the shared folder as Parquet; returns the path, which `remove` takes."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Like cut, but as Parquet, so later passes read only the columns they need."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(staged_at(df, name))
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that staged_at wrote and nothing reads any more."""
+    jvm = spark._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
