@@ -246,3 +246,66 @@ def test_windows_drop_late_rows(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start(out).awaitTermination()
     got = sorted(r["docs"] for r in spark.read.parquet(out).collect())
     assert got == [1, 2]
+
+
+# -- snapshots by content -------------------------------------------------------------------------
+
+def corpus(spark, changed=()):
+    rows = [(str(i), f"text {i}" + (" changed" if i in changed else ""), 0.5) for i in range(1000)]
+    return spark.createDataFrame(rows, "id string, content string, quality_score double")
+
+
+def test_a_new_version_writes_what_is_new(spark, tmp_path):
+    store = V.VersionStore(spark, str(tmp_path))
+    first = V.create_version(store, "all", corpus(spark), "2024-01-01")
+    second = V.create_version(store, "ten changed", corpus(spark, range(10)), "2024-01-02")
+    assert spark.read.parquet(store.at(f"documents/version={second}")).count() == 10
+    for name, changed in ((first, ()), (second, range(10))):
+        assert sorted(map(tuple, V.load_version(store, name).collect())) == sorted(map(tuple, corpus(spark, changed).collect()))
+    diff = V.version_diff(store, first, second)
+    assert {r["change"]: r["count"] for r in diff.groupBy("change").count().collect()} == {"added": 10, "removed": 10}
+    read = diff._jdf.queryExecution().executedPlan().toString()
+    assert read.count("PushedFilters: [In(bucket") + read.count("PushedFilters: [Or(") + read.count("bucket#") >= 2
+    assert V.version_diff(store, first, first).collect() == []
+
+
+def test_repeated_rows_other_columns_and_no_rows(spark, tmp_path):
+    store = V.VersionStore(spark, str(tmp_path))
+    rows = [(1, "a"), (1, "a"), (2, None)]
+    V.save_version(store, "one", "", spark.createDataFrame(rows, "id int, content string"), "2024-01-01")
+    V.save_version(store, "two", "", spark.createDataFrame([("1", [1.5])], "id string, scores array<double>"), "2024-01-02")
+    V.create_version(store, "none", corpus(spark).limit(0), "2024-01-03")
+    assert sorted(map(tuple, V.load_version(store, "one").collect()), key=repr) == sorted(rows, key=repr)
+    assert [tuple(r) for r in V.load_version(store, "two").collect()] == [("1", [1.5])]
+    assert V.load_version(store, "1.0").columns == ["id", "content", "quality_score"] and V.load_version(store, "1.0").count() == 0
+
+
+def test_a_failed_save_is_repeated(spark, tmp_path, monkeypatch):
+    store = V.VersionStore(spark, str(tmp_path))
+    with monkeypatch.context() as m:
+        m.setattr(V, "corpus_metrics", lambda df: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            V.save_version(store, "v", "", corpus(spark), "2024-01-01")
+    V.save_version(store, "other", "", corpus(spark, range(5)), "2024-01-02")
+    V.save_version(store, "v", "", corpus(spark), "2024-01-03")
+    assert V.load_version(store, "v").count() == 1000 and V.load_version(store, "other").count() == 1000
+    with pytest.raises(ValueError):
+        V.save_version(store, "v", "", corpus(spark), "2024-01-04")
+
+
+def test_checksum_covers_files(spark, tmp_path):
+    files = tmp_path / "tokenizer"
+    files.mkdir()
+    (files / "vocab.json").write_text("{}")
+    df = corpus(spark).withColumn("content_hash", V.T.content_hash("content"))
+    plain = V.dataset_checksum(df).first()[0]
+    first = V.dataset_checksum(df, files=V.file_hashes(spark, str(files))).first()[0]
+    assert V.dataset_checksum(df.repartition(7)).first()[0] == plain != first
+    (files / "vocab.json").write_text('{"a": 1}')
+    assert V.dataset_checksum(df, files=V.file_hashes(spark, str(files))).first()[0] != first
+    store = V.VersionStore(spark, str(tmp_path / "store"))
+    V.create_version(store, "", df, "2024-01-01", files=str(files))
+    (files / "merges.txt").write_text("a b")
+    V.create_version(store, "", df, "2024-01-02", files=str(files))
+    sums = [r["checksum"] for r in store.versions.orderBy("created_at").collect()]
+    assert sums[0] != sums[1]

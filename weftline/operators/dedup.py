@@ -201,6 +201,15 @@ def near_dup_pairs(df: DataFrame, threshold: float = 0.8, preset: str = "recall"
     features = staged(
         df.select(F.col(order_by).alias("ord"), F.col(col)).join(wanted, "ord", "left_semi")
         .select("ord", sketch.word_set(col, max_words).alias("feature")), "wordsets")
+    return _walked(keyed, members, features, threshold)
+
+
+def near_dup_sets(described: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """near_dup_pairs over (ord, set_hash, keys, feature) that are there already; sets are not empty."""
+    return _walked(described.select("ord", "set_hash", "keys"), _members(described), described.select("ord", "feature"), threshold)
+
+
+def _walked(keyed: DataFrame, members: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
     gone = keep_first_similar(members, features, _similar_sets(threshold),
                               lambda open_: divide(open_, features, threshold))
     near = gone.select(F.col("kept_ord").alias("a"), F.col("ord").alias("b"), F.col("score").alias("jaccard"))

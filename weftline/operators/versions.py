@@ -1,7 +1,10 @@
-"""Versioned corpora: snapshots, a table of versions, comparison and a training log.
+"""Versioned corpora: snapshots by content, a table of versions, comparison and a training log.
 
-A store is a folder holding three Parquet tables: `versions` (one row per version), `documents`
-(the rows of each snapshot, one folder per version) and `trained` (an append-only log of names).
+A store is a folder of Parquet tables: `documents` (each distinct row once, in the folder of the version that
+brought it), `members` (the row hashes of each version, in order), `digests` (the tree of SHA-256
+digests over them), `versions` (one row per version, written last, so that a save that failed is simply
+repeated) and `trained` (an append-only log of names). A new version writes the rows that no earlier one
+has; two versions are compared by reading the buckets whose digests differ.
 """
 
 from __future__ import annotations
@@ -18,6 +21,10 @@ from weftline.sources.writers import table_exists
 
 COMPONENT_VERSIONS = {"crawler": "1.0.0", "processor": "1.0.0", "tokenizer": "1.0.0"}  # fixed values
 TRAINED = "name string, trained_at string"
+MEMBERS = "row_hash string, content_hash string, n bigint"
+DIGESTS = "level int, prefix string, digest string, n bigint"
+LEVELS = (5, 2, 0)  # hex digits of the hash that nodes of the digest tree share, from the leaves to the root
+BUCKET = 2          # digits by which members are laid out
 
 
 @dataclass(frozen=True)
@@ -42,16 +49,36 @@ class VersionStore:
         return self.read("trained", TRAINED)
 
 
-def dataset_checksum(df: DataFrame, col: str = "content_hash") -> DataFrame:
-    """One row: a digest of the multiset of document hashes, whatever their order.
+def digest_tree(counted: DataFrame, col: str = "content_hash") -> DataFrame:
+    """(level, prefix, digest, n) over (hash, n): SHA-256 of the sorted hashes and their counts of each leaf, combined up to the root.
 
-    Four 60-bit lanes of each hash are summed, so every task keeps a few numbers.
+    A leaf holds the hashes that agree in five hex digits, a millionth of all; a node joins its children in
+    order. Equal multisets have equal digests, and so have equal parts of two multisets.
     """
-    lanes = [
-        F.coalesce(F.sum(F.conv(F.substring(col, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")), F.lit(0))
-        .cast("string") for i in range(4)
-    ]
-    return df.agg(F.sha2(F.concat_ws(":", F.count("*").cast("string"), *lanes), 256).alias("checksum"))
+    level = counted.groupBy(F.substring(col, 1, LEVELS[0]).alias("prefix")).agg(
+        F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", F.col(col), "n"))), ","), 256).alias("digest"), F.sum("n").alias("n"))
+    tree = level.withColumn("level", F.lit(LEVELS[0]))
+    for digits in LEVELS[1:]:
+        child = F.array_sort(F.collect_list(F.concat_ws(":", "prefix", "digest")))
+        level = level.groupBy(F.substring("prefix", 1, digits).alias("parent")).agg(
+            F.sha2(F.array_join(child, ","), 256).alias("digest"), F.sum("n").alias("n")).withColumnRenamed("parent", "prefix")
+        tree = tree.unionByName(level.withColumn("level", F.lit(digits)))
+    return tree.select(*(f.split()[0] for f in DIGESTS.split(", ")))
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """(content_hash): a hash of the name and the bytes of every file under a folder, such as manifests and tokenizer files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    root = F.length(F.lit(path.rstrip("/").rsplit("/", 1)[-1])) + 1
+    name = F.expr("path").substr(F.instr("path", "/" + path.rstrip("/").rsplit("/", 1)[-1] + "/") + 1 + root, F.lit(1 << 20))
+    return files.select(F.sha2(F.concat_ws(":", name, F.sha2("content", 256)), 256).alias("content_hash"))
+
+
+def dataset_checksum(df: DataFrame, col: str = "content_hash", files: DataFrame | None = None) -> DataFrame:
+    """One row: the root digest of the multiset of document hashes, whatever their order, and of file hashes if given."""
+    hashes = df.select(col) if files is None else df.select(col).union(files.select("content_hash"))
+    root = digest_tree(hashes.groupBy(col).agg(F.count("*").alias("n")), col).where("level = 0")
+    return root.agg(F.coalesce(F.max("digest"), F.sha2(F.lit(""), 256)).alias("checksum"))
 
 
 def corpus_metrics(df: DataFrame) -> DataFrame:
@@ -75,15 +102,58 @@ def _pairs(values: dict):
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair]).cast("map<string,string>")
 
 
+def _layout(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def _committed(store: VersionStore, layout: str) -> list[str]:
+    """Document folders of the versions of a layout that were saved to the end."""
+    names = store.versions.where(F.col("provenance")["layout"] == layout).select("version").distinct().collect()
+    return [store.at(f"documents/version={r['version']}") for r in names]
+
+
+def _stored(store: VersionStore, layout: str) -> DataFrame:
+    """Every distinct row of this layout in the store, with its hash."""
+    paths, schema = _committed(store, layout), f"row_hash string, {layout}"
+    return store.spark.read.schema(schema).parquet(*paths) if paths else store.spark.createDataFrame([], schema)
+
+
+def members(store: VersionStore, name: str) -> DataFrame:
+    """(row_hash, content_hash, n, bucket): the rows of a version and how often it holds each."""
+    path = store.at(f"members/version={name}")
+    return store.spark.read.schema(MEMBERS + ", bucket string").parquet(path)
+
+
+def digests(store: VersionStore, name: str) -> DataFrame:
+    return store.spark.read.schema(DIGESTS).parquet(store.at(f"digests/version={name}"))
+
+
 def _append_version(store: VersionStore, name: str, description: str, df: DataFrame, created_at: str,
-                    provenance: dict) -> None:
-    snapshot = store.at(f"documents/version={name}")
-    df.write.mode("errorifexists").parquet(snapshot)
-    saved = store.spark.read.schema(df.schema).parquet(snapshot)
-    hashes = saved if "content_hash" in df.columns else saved.withColumn(
-        "content_hash", T.content_hash(F.to_json(F.struct(*df.columns))))
-    row = side_by_side(corpus_metrics(saved), dataset_checksum(hashes))
-    row.select(
+                    provenance: dict, files: str | None = None) -> None:
+    text, layout = F.to_json(F.struct(*df.columns)), _layout(df)
+    row_hash = F.sha2(F.concat_ws("|", F.lit(layout), text), 256)
+    content = F.col("content_hash") if "content_hash" in df.columns else T.content_hash(text)
+    hashed = df.withColumn("row_hash", row_hash)
+    bucket = F.substring("row_hash", 1, BUCKET).alias("bucket")
+    found = hashed.select("row_hash", content.alias("content_hash")).groupBy("row_hash").agg(
+        F.first("content_hash").alias("content_hash"), F.count("*").alias("n"))
+    # ranges of hashes a file: a filter on buckets skips files and row groups by their bounds
+    laid = found.select("*", bucket).repartitionByRange("bucket", "row_hash").sortWithinPartitions("bucket", "row_hash")
+    laid.write.mode("overwrite").parquet(store.at(f"members/version={name}"))
+    own = members(store, name)
+    fresh = own.join(_stored(store, layout).select("row_hash"), "row_hash", "left_anti").select("row_hash")
+    new = hashed.join(fresh, "row_hash", "left_semi").dropDuplicates(["row_hash"])
+    new.write.mode("overwrite").parquet(store.at(f"documents/version={name}"))
+    counted = own.select("row_hash", "n")
+    if files is not None:
+        counted = counted.union(file_hashes(store.spark, files).groupBy("content_hash").agg(F.count("*").alias("n")))
+    digest_tree(counted, "row_hash").coalesce(1).write.mode("overwrite").parquet(store.at(f"digests/version={name}"))
+    written = store.spark.read.schema("row_hash string").parquet(*_committed(store, layout), store.at(f"documents/version={name}"))
+    if not own.join(written, "row_hash", "left_anti").isEmpty():
+        raise RuntimeError(f"version {name}: the rows changed while they were written")
+    checksum = digests(store, name).where("level = 0").agg(F.coalesce(F.max("digest"), F.sha2(F.lit(""), 256)).alias("checksum"))
+    provenance = {**provenance, "layout": layout}
+    side_by_side(corpus_metrics(df), checksum).select(
         F.lit(name).alias("version"), F.lit(created_at).alias("created_at"),
         F.lit(description).alias("description"), _pairs(COMPONENT_VERSIONS).alias("source_versions"),
         "statistics", "quality_metrics",
@@ -103,20 +173,23 @@ def next_version(versions: DataFrame) -> str:
 
 
 def create_version(store: VersionStore, description: str, df: DataFrame, created_at: str,
-                   provenance: dict | None = None) -> str:
-    """Snapshot the rows under the next number; statistics, quality and checksum come from the data."""
+                   provenance: dict | None = None, files: str | None = None) -> str:
+    """Snapshot the rows under the next number; statistics, quality and checksum come from the data.
+
+    The checksum covers the files under `files` too, such as manifests and a tokenizer.
+    """
     name = next_version(store.versions)
-    _append_version(store, name, description, df, created_at, {"source": "weftline", **(provenance or {})})
+    _append_version(store, name, description, df, created_at, {"source": "weftline", **(provenance or {})}, files)
     return name
 
 
-def save_version(store: VersionStore, name: str, description: str, df: DataFrame, created_at: str) -> None:
+def save_version(store: VersionStore, name: str, description: str, df: DataFrame, created_at: str, files: str | None = None) -> None:
     """Snapshot the rows under a new name; refused for a name in use and for an empty corpus."""
     if not store.versions.where(F.col("version") == name).isEmpty():
         raise ValueError(f"version {name} already exists")
     if df.isEmpty():
         raise ValueError("no documents to save")
-    _append_version(store, name, description, df, created_at, {"source": "weftline"})
+    _append_version(store, name, description, df, created_at, {"source": "weftline"}, files)
 
 
 def list_versions(store: VersionStore) -> DataFrame:
@@ -143,8 +216,10 @@ def newest_version(names: DataFrame, col: str = "name") -> DataFrame:
 
 
 def load_version(store: VersionStore, name: str) -> DataFrame:
-    get_version(store, name)
-    return store.spark.read.parquet(store.at(f"documents/version={name}"))
+    """The rows of a version, repeated ones as often as they were saved."""
+    layout = get_version(store, name).first()["provenance"]["layout"]
+    rows = _stored(store, layout).join(members(store, name).select("row_hash", "n"), "row_hash")
+    return rows.withColumn("n_copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("row_hash", "n", "n_copy")
 
 
 def export_version(store: VersionStore, name: str, out: str) -> None:
@@ -192,6 +267,22 @@ def version_diff_docs(old: DataFrame, new: DataFrame, col: str = "content_hash")
         .otherwise("removed").alias("change"))
 
 
+def version_diff(store: VersionStore, old: str, new: str) -> DataFrame:
+    """(content_hash, change, n): rows added or removed from one version to the other.
+
+    Only buckets whose digests differ are read, both of them: at most 256 names are compared first.
+    """
+    kind = F.col("level") == BUCKET
+    before = digests(store, old).where(kind).select("prefix", F.col("digest").alias("a"))
+    after = digests(store, new).where(kind).select("prefix", F.col("digest").alias("b"))
+    changed = before.join(after, "prefix", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+    buckets = [r["prefix"] for r in changed.select("prefix").collect()]
+    sides = [members(store, v).where(F.col("bucket").isin(buckets)).select("row_hash", "content_hash", (F.col("n") * sign).alias("n"))
+             for v, sign in ((old, -1), (new, 1))]
+    moved = sides[0].union(sides[1]).groupBy("row_hash").agg(F.first("content_hash").alias("content_hash"), F.sum("n").alias("n")).where("n <> 0")
+    return moved.select("content_hash", F.when(F.col("n") > 0, "added").otherwise("removed").alias("change"), F.abs("n").alias("n"))
+
+
 def mark_trained(store: VersionStore, trained_at: str, name: str | None = None) -> str:
     """Log a version, by default the current one, as trained."""
     name = get_version(store, name).first()["version"]

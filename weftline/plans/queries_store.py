@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from weftline.functions import scoring as S, text as T
 from weftline.operators import jobs, stats, versions as V
 from weftline.plans import catalog as C
-from weftline.plans.catalog import query
+from weftline.plans.catalog import ORACLES, query
 from weftline.plans.queries_corpus import SHARDED, sharded
+from weftline.plans.queries_text import profiles
 from weftline.plans.tables import RUN_TS
 from weftline.session import scratch_path
 from weftline.sources import readers, writers
-from weftline.streaming import ingest
+from weftline.streaming import ingest, state
 
 RAW_SQL = "SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS md5, CAST(length(text) AS INTEGER) AS content_length FROM documents"
 CLEANED_SQL = f"""WITH {C.DOCS} SELECT CAST(doc_id AS VARCHAR) AS id, md5({C.clean('body')}) AS md5, lang AS language,
@@ -214,10 +215,24 @@ def _(t):
     return t.spark.read.parquet(f"{out}/documents").select("id", "content_hash")
 
 
-_LANES = " || ':' || ".join(f"sum(('0x' || h[{1 + 15 * i}:{15 + 15 * i}])::BIGINT)::VARCHAR" for i in range(4))
+_TREE = """h AS (SELECT sha256(text) AS h, count(*) AS n FROM documents GROUP BY ALL),
+d5 AS (SELECT h[1:5] AS prefix, sha256(string_agg(h || ':' || n, ',' ORDER BY h)) AS digest, sum(n)::BIGINT AS n FROM h GROUP BY ALL),
+d2 AS (SELECT prefix[1:2] AS prefix, sha256(string_agg(prefix || ':' || digest, ',' ORDER BY prefix)) AS digest, sum(n)::BIGINT AS n FROM d5 GROUP BY prefix[1:2]),
+d0 AS (SELECT '' AS prefix, sha256(string_agg(prefix || ':' || digest, ',' ORDER BY prefix)) AS digest, sum(n)::BIGINT AS n FROM d2)"""
 
 
-@query("dataset_checksum", f"SELECT sha256(count(*)::VARCHAR || ':' || {_LANES}) AS checksum FROM (SELECT sha256(text) AS h FROM documents)")
+@query("digest_tree", f"WITH {_TREE} SELECT 5 AS level, * FROM d5 UNION ALL SELECT 2, * FROM d2 UNION ALL SELECT 0, * FROM d0")
+def _(t):
+    return V.digest_tree(t.raw.groupBy("content_hash").agg(F.count("*").alias("n")))
+
+
+@query("version_diff", """SELECT sha256(text) AS content_hash, 'added' AS change, 1::BIGINT AS n FROM documents WHERE lang = 'en'
+UNION ALL SELECT sha256(text), 'removed', 1 FROM documents WHERE lang <> 'en'""")
+def _(t):
+    return V.version_diff(store(t), "rest", "1.0")
+
+
+@query("dataset_checksum", f"WITH {_TREE} SELECT digest AS checksum FROM d0")
 def _(t):
     return V.dataset_checksum(t.raw.select("content_hash"))
 
@@ -381,3 +396,43 @@ def _(t):
         "checkpointLocation", scratch_path(t.spark, "stream-state")).foreachBatch(keep_latest).trigger(availableNow=True).start().awaitTermination()
     counts = writers.read_stream_output(t.spark, out, "window_start timestamp_ntz, reason string, docs bigint")
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")
+
+
+@query("stream_ingest_judged", f"""WITH {C.SCORED} SELECT CAST(doc_id AS VARCHAR) AS id, md5({C.clean('body')}) AS md5, lang AS language,
+  round(q, 6) AS quality_score FROM judged WHERE reason0 IS NULL""")
+def _(t):
+    out = scratch_path(t.spark, "judged-stream")
+    ingest.stream_ingest_clean(doc_stream(t), out, scratch_path(t.spark, "stream-state"), profiles=profiles(t)).awaitTermination()
+    rows = writers.read_stream_output(t.spark, out, "id string, content string, language string, quality_score double")
+    return rows.select("id", F.md5("content").alias("md5"), "language", F.round("quality_score", 6).alias("quality_score"))
+
+
+@query("stream_dedup_similar", f"""WITH RECURSIVE {C.similar_sets()}, {C.GREEDY}
+SELECT doc_id FROM documents EXCEPT SELECT b FROM gone""")
+def _(t):
+    """The documents arrive in two parts, smaller ids first; the second meets the first one's survivors as state."""
+    arriving, checkpoint = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "stream-state")
+    seen = state.SeenDocuments(t.spark, scratch_path(t.spark, "seen"), "doc_id", "text", id_type="bigint")
+    middle = t.documents.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0] or 0
+    docs = t.documents.select("doc_id", "text")
+    for part in (docs.where(F.col("doc_id") <= middle), docs.where(F.col("doc_id") > middle)):
+        part.write.mode("append").parquet(arriving)
+        seen.run(t.spark.readStream.schema(docs.schema).parquet(arriving), checkpoint).awaitTermination()
+    return seen.survivors("doc_id bigint, text string").select("doc_id")
+
+
+JOB_ROWS = "job_id string, status string, progress double, message string, updated_at timestamp_ntz, event_id bigint"
+
+
+@query("stream_job_status", ORACLES["job_latest_status"])
+def _(t):
+    """Events upserted as they arrive, each batch delivered twice."""
+    jobs_now = state.LatestRows(t.spark, scratch_path(t.spark, "jobs"), JOB_ROWS, "job_id", ("updated_at", "event_id"), compact=2)
+    arriving = scratch_path(t.spark, "arriving")
+    for half in (0, 1):
+        t.events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(arriving)
+        sdf = t.job_events_of(t.spark.readStream.schema(t.events.schema).parquet(arriving)).select(*(c.split()[0] for c in JOB_ROWS.split(", ")))
+        for checkpoint in ("first", "again"):   # the second checkpoint has seen nothing: its batches carry the same numbers
+            jobs_now.run(sdf, f"{jobs_now.path}/{checkpoint}").awaitTermination()
+    known = t.job_events.where("status = 'queued'").select("job_id").distinct()
+    return jobs_now.read().join(known, "job_id", "left_semi").select("job_id", "status", F.round("progress", 6).alias("progress"), "message")

@@ -46,11 +46,15 @@ class Tables:
     @property
     def job_events(self) -> DataFrame:
         """events as a job log: a user is a job, an event one status change."""
+        return self.job_events_of(self.events)
+
+    @staticmethod
+    def job_events_of(events: DataFrame) -> DataFrame:
         kind = F.element_at(F.array(F.lit("crawl"), F.lit("process"), F.lit("tokenize")),
                             (F.col("user_id") % 3 + 1).cast("int"))
         status = (F.when(F.col("event_type") == "signup", "queued").when(F.col("event_type") == "purchase", "completed")
                   .when(F.col("event_type") == "error", "failed").otherwise("running"))
-        return self.events.select(
+        return events.select(
             "event_id", F.concat(F.lit("job_"), F.col("user_id")).alias("job_id"), kind.alias("type"),
             status.alias("status"), F.least(F.col("value") / 100.0, F.lit(1.0)).alias("progress"),
             F.col("event_type").alias("message"), F.col("ts").alias("updated_at"), F.col("props").alias("params"))

@@ -20,16 +20,17 @@ def read_stream(spark: SparkSession, path: str, fmt: str = "json", schema: str =
     return reader.format(fmt).load(path)
 
 
-def clean_rows(df: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Stateless part of cleaning: length tests, cleaned content, token estimate."""
-    kept = filters.with_length_reason(df, cfg).where("reason IS NULL").drop("reason")
+def clean_rows(df: DataFrame, cfg: Config = Config(), profiles: dict | None = None) -> DataFrame:
+    """Stateless part of cleaning: length tests and, with language profiles, all tests of one document; cleaned content, token estimate."""
+    judged = filters.with_length_reason(df, cfg) if profiles is None else filters.annotate_reason(df, profiles, cfg)
+    kept = judged.where("reason IS NULL").drop("reason")
     return kept.withColumns({"token_estimate": T.estimate_tokens("content"), "content": T.clean_content("content")})
 
 
 def stream_ingest_clean(sdf: DataFrame, out: str, checkpoint: str, cfg: Config = Config(),
-                        docs_per_file: int | None = None, trigger: dict | None = None):
+                        docs_per_file: int | None = None, trigger: dict | None = None, profiles: dict | None = None):
     """Clean each arriving file and append it, exactly once, as Parquet; returns the running query."""
-    writer = clean_rows(sdf, cfg).writeStream.format("parquet").outputMode("append").option(
+    writer = clean_rows(sdf, cfg, profiles).writeStream.format("parquet").outputMode("append").option(
         "checkpointLocation", checkpoint)
     if docs_per_file:
         writer = writer.option("maxRecordsPerFile", docs_per_file)
