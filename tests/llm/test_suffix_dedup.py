@@ -52,6 +52,21 @@ def test_equals_brute_force(spark, monkeypatch, hot, run):
     assert S.suffix_dedup(df.limit(0)).collect() == []
 
 
+def test_one_line_in_most_texts_makes_rows_by_text(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 20)
+    line = "the same long line that nearly every text repeats, again and again, word for word, to its end. "
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choices("abcdef ", k=rng.randrange(80))) + line * rng.randrange(1, 9) + str(i)) for i in range(300)]
+    rows += [(50, "another text of one id " + line * 3 + "x" + line), (50, rows[50][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sent = []
+    send = S._send
+    monkeypatch.setattr(S, "_send", lambda *a: sent.append(send(*a)) or sent[-1])
+    assert sorted(map(tuple, S.suffix_dedup(df).collect()), key=repr) == brute(rows)
+    made = sent[0]
+    assert made.where("doc_id IS NOT NULL").count() <= len(rows) and made.where("part IS NOT NULL").count() <= 3 * 32
+
+
 def test_equal_strings_have_the_same_anchors(monkeypatch):
     monkeypatch.setattr(S, "CHUNK", 300)
     rng = random.Random(2)

@@ -7,7 +7,8 @@ merged by a loser tree. The merged order with its common prefixes, and the order
 left, tell which strings around an anchor are equal, and the least document that holds each.
 
 Equal texts are worked on once. An anchor with very many suffixes is not merged in one task: its strings
-are grouped by a 128-bit hash, with minima combined before they are shuffled.
+are grouped by a 128-bit hash, with minima combined before they are shuffled; they travel packed, a row a
+task and part of the hash, and what is known to go as a row a text.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ HOT = 4096                    # suffixes of one anchor that are merged in one ta
 CHUNK = 1 << 20
 RUN = 100_000                 # suffixes a task sorts at once
 LEVEL = 3                     # of compression where texts and suffixes are shuffled
+BUCKET_BYTES = 8 << 20        # of text behind a bucket of anchors at most, on average
 RUN_DOCS = 2_000              # texts whose anchors a task looks through at once
 HOT_BROADCAST = 1_000_000     # hot anchors that travel to every task, 8 bytes each
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -181,13 +183,14 @@ def _shared_with_last(rows: np.ndarray) -> np.ndarray:
 
 
 def _send(rows: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, n, blob, rest): front-coded sorted runs; (digest, doc_id, text, start, end): strings of hot anchors.
+    """Front-coded sorted runs (bucket, n, blob, rest), packed strings of hot anchors (part, n, blob), and spans known
+    to go (doc_id, text, starts, ends): a row a task and bucket, a task and part, and a text.
 
     Of the holders of a hot string only the least document of a task is sent on with its digest; the strings
-    of the others are known to go and are sent as spans.
+    of the others are known to go.
     """
     def run(batch):
-        held, n, least = [], 0, {}
+        held, n, least, known = [], 0, {}, {}
         for doc_id, text, packed, codes in batch:
             data = zstandard.ZstdDecompressor().decompress(packed)
             at, hashes = anchors(data)
@@ -199,21 +202,25 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
                 gone = []
                 for s in starts[(starts >= 0) & (starts <= len(data) - LENGTH)].tolist():
                     digest = xxhash.xxh3_128_digest(data[s:s + LENGTH])
-                    known = least.get(digest)
-                    if known is None or doc_id < known[0]:
+                    first = least.get(digest)
+                    if first is None or doc_id < first[0]:
                         least[digest] = (doc_id, text, [s])
-                        if known:
-                            yield from (span(*known[:2], x, x + LENGTH) for x in known[2])
-                    elif known[0] < doc_id:
+                        if first:
+                            known.setdefault(first[:2], []).extend(first[2])
+                    elif first[0] < doc_id:
                         gone.append(s)
-                    elif known[1] == text:
-                        known[2].append(s)
-                    else:  # another text of the same id
-                        yield (*[None] * 4, digest, doc_id, text, s, s + LENGTH)
-                yield from (span(doc_id, text, a, b) for a, b in _joined(gone, [s + LENGTH for s in gone]))
+                    elif first[1] == text:
+                        first[2].append(s)
+                    else:  # another text of the same id: its strings stand beside the first one's
+                        least.setdefault(digest + text.to_bytes(8, "little", signed=True), (doc_id, text, []))[2].append(s)
+                if gone:
+                    known.setdefault((doc_id, text), []).extend(gone)
                 if len(least) > RUN:
                     yield from strings(least)
                     least = {}
+                if len(known) > RUN_DOCS:
+                    yield from spans(known)
+                    known = {}
             if cold.any():
                 held.append((doc_id, text, data, at[cold], code[cold] >> 41))
                 n += int(cold.sum())
@@ -223,13 +230,25 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from runs(held)
         yield from strings(least)
+        yield from spans(known)
 
-    def span(doc_id, text, start, end):
-        return *[None] * 5, doc_id, text, start, end
+    def spans(known):
+        for (doc_id, text), starts in known.items():
+            joined = _joined(starts, [s + LENGTH for s in starts])
+            yield *[None] * 5, doc_id, text, [a for a, _ in joined], [b for _, b in joined]
 
     def strings(least):
-        for digest, (doc_id, text, starts) in least.items():
-            yield from ((*[None] * 4, digest, doc_id, text, s, s + LENGTH) for s in starts)
+        cols = [(d[:16], doc, text, s) for d, (doc, text, starts) in least.items() for s in starts]
+        if not cols:
+            return
+        digest = np.frombuffer(b"".join(c[0] for c in cols), "<u8").reshape(-1, 2)
+        doc, text, start = (np.array([c[i] for c in cols], np.int64) for i in (1, 2, 3))
+        part = (digest[:, 0] % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((digest[:, 1], digest[:, 0], part))
+        digest, doc, text, start, part = digest[order], doc[order], text[order], start[order], part[order]
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(part)]):
+            yield None, int(part[a]), b - a, _pack(digest[a:b], doc[a:b], text[a:b], start[a:b]), *[None] * 5
 
     def runs(held):
         right, left, cols = [], [], []
@@ -249,9 +268,9 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
             rest = part[np.arange(LENGTH) >= lcp[:, None]].tobytes()
             blob = _pack(lcp.astype("u1"), cols[0][a:b].astype("u1"), cols[1][a:b].astype("u1"), *(cols[i][a:b].astype("<i8") for i in (2, 3, 4)))
             # whole rows of what stands to the left: copies repeat them
-            yield int(cols[5][a]), b - a, blob, zstandard.ZstdCompressor(level=LEVEL).compress(left[a:b].tobytes() + rest), *[None] * 5
+            yield int(cols[5][a]), None, b - a, blob, zstandard.ZstdCompressor(level=LEVEL).compress(left[a:b].tobytes() + rest), *[None] * 4
 
-    return map_rows(rows, run, "bucket int, n int, blob binary, rest binary, digest binary, doc_id long, text long, start long, end long")
+    return map_rows(rows, run, "bucket int, part int, n int, blob binary, rest binary, doc_id long, text long, starts array<long>, ends array<long>")
 
 
 def _front_decoded(lcp: np.ndarray, rest: bytes) -> np.ndarray:
@@ -305,16 +324,34 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": doc[hit], "text": text[hit], "start": at[hit] - last[hit], "end": at[hit] - first[hit] + LENGTH})
 
 
+def _least(group: pd.DataFrame) -> pd.DataFrame:
+    """(doc_id, text, starts, ends): hot strings that a smaller document holds too, joined; a row a text."""
+    cols = [_unpack(b, n, [("<u8", 2), ("<i8", 1), ("<i8", 1), ("<i8", 1)]) for b, n in zip(group.blob, group.n)]
+    digest, doc, text, start = (np.concatenate([c[i] for c in cols]) for i in range(4))
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
+    digest, doc, text, start = digest[order], doc[order], text[order], start[order]
+    firsts = np.flatnonzero(np.append(True, (digest[1:] != digest[:-1]).any(1)))
+    least = np.repeat(np.minimum.reduceat(doc, firsts), np.diff(np.append(firsts, len(doc))))
+    doc, text, start = doc[least < doc], text[least < doc], start[least < doc]
+    order = np.lexsort((start, text, doc))
+    doc, text, start = doc[order], text[order], start[order]
+    other = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+    begins = np.flatnonzero(np.append(len(doc) > 0, other | (start[1:] - start[:-1] > LENGTH))[:len(doc)])
+    ends = np.append(begins[1:], len(doc))[:len(begins)] - 1
+    rows = np.flatnonzero(np.append(len(begins) > 0, (doc[begins][1:] != doc[begins][:-1]) | (text[begins][1:] != text[begins][:-1]))[:len(begins)])
+    return pd.DataFrame({"doc_id": doc[begins][rows], "text": text[begins][rows], "starts": [x for x in np.split(start[begins], rows[1:])] if len(rows) else [],
+                         "ends": [x for x in np.split(start[ends] + LENGTH, rows[1:])] if len(rows) else []})
+
+
 def repeated_spans(leads: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, text, start, end) over (doc_id, text, packed, codes): spans to remove, overlapping ones included."""
+    """(doc_id, text, starts, ends) over (doc_id, text, packed, codes): spans to remove, overlapping ones included."""
     sent = staged(_send(leads, buckets), "runs")
     merged = sent.where("bucket IS NOT NULL").select("bucket", "n", "blob", "rest").groupBy("bucket").applyInPandas(
         _merged, "doc_id long, text long, start long, end long")
-    known = sent.where("bucket IS NULL AND digest IS NULL").select("doc_id", "text", "start", "end")
-    strings = sent.where("digest IS NOT NULL").select("digest", "doc_id", "text", "start", "end")
-    least = strings.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    hot = strings.join(least, "digest").where("least < doc_id").select("doc_id", "text", "start", "end")
-    return merged.union(known).union(hot)
+    known = sent.where("doc_id IS NOT NULL").select("doc_id", "text", "starts", "ends")
+    hot = sent.where("part IS NOT NULL").select("part", "n", "blob").groupBy("part").applyInPandas(
+        _least, "doc_id long, text long, starts array<long>, ends array<long>")
+    return merged.select("doc_id", "text", F.array("start").alias("starts"), F.array("end").alias("ends")).union(known).union(hot)
 
 
 # -- the operator -----------------------------------------------------------------------------------------
@@ -347,19 +384,20 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null id loses nothing and takes nothing from others; rows of equal id are no copies of each other;
     other columns are ignored; an empty table gives an empty one.
     """
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = texts(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("data")).withColumn(
         "text", F.xxhash64("data"))
     narrow = staged(src.select("doc_id", "text", F.xxhash64(F.lit(1), "data").alias("check"), F.octet_length("data").cast("long").alias("n_bytes"),
                                F.sha2("data", 256).alias("sha")), "texts")
+    size = narrow.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     # equal texts: the least id stands for all
     leads = staged(narrow.where("doc_id IS NOT NULL").groupBy("text", "check").agg(F.min("doc_id").alias("lead")), "leads")
     codes = shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets)
     chosen = leads.select(F.col("lead").alias("doc_id"), "text").distinct().join(codes, "text")
     long = _packed(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)))
     spans = staged(repeated_spans(long.join(chosen, ["doc_id", "text"]).select("doc_id", "text", "packed", "codes"), buckets), "spans")
-    lists = spans.groupBy("doc_id", "text").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(
-        "doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+    lists = spans.groupBy("doc_id", "text").agg(F.collect_list(F.struct("starts", "ends")).alias("spans")).select(
+        "doc_id", "text", F.flatten("spans.starts").alias("starts"), F.flatten("spans.ends").alias("ends"))
 
     def cut(rows):
         for doc_id, text, packed, starts, ends in rows:
