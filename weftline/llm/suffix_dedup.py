@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from weftline.llm.common import map_rows, texts
 from weftline.llm.merge_tree import merge
-from weftline.session import staged
+from weftline.session import remove, staged, staged_at
 
 LENGTH = 50
 GRAM = 18
@@ -34,7 +34,8 @@ HOT = 4096                    # suffixes of one anchor that are merged in one ta
 CHUNK = 1 << 20
 RUN = 100_000                 # suffixes a task sorts at once
 LEVEL = 3                     # of compression where texts and suffixes are shuffled
-BUCKET_BYTES = 8 << 20        # of text behind a bucket of anchors at most, on average
+BUCKET_BYTES = 4 << 20        # of text behind a bucket of anchors, on average
+LEAST_BUCKETS = 16
 RUN_DOCS = 2_000              # texts whose anchors a task looks through at once
 HOT_BROADCAST = 1_000_000     # hot anchors that travel to every task, 8 bytes each
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -156,17 +157,22 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
                          "hot": np.repeat([False, True], [lone.sum(), hot.sum()])})
 
 
-def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """(text, codes): the keys of a text's anchors that other texts hold too, twice the key, and one more if hot."""
-    asked = staged(_ask(rows, buckets), "anchors")
-    replies = staged(asked.where("bucket IS NOT NULL").select("bucket", "n", "blob").groupBy("bucket").applyInPandas(
-        _answer, "text long, key long, hot boolean"), "replies")
+def shared_anchors(rows: DataFrame, buckets: int) -> tuple[DataFrame, list]:
+    """(text, codes): the keys of a text's anchors that other texts hold too, twice the key, and one more if hot; and the tables it reads."""
+    read = rows.sparkSession.read
+    asking = _ask(rows, buckets)
+    paths = [staged_at(asking, "anchors")]
+    asked = read.schema(asking.schema).parquet(paths[0])
+    answers = asked.where("bucket IS NOT NULL").select("bucket", "n", "blob").groupBy("bucket").applyInPandas(
+        _answer, "text long, key long, hot boolean")
+    paths.append(staged_at(answers, "replies"))
+    replies = read.schema(answers.schema).parquet(paths[1])
     hot = replies.where("hot").select("key", F.lit(1).alias("hot"))
     if hot.count() <= HOT_BROADCAST:
         hot = F.broadcast(hot)
     both = asked.where("bucket IS NULL").select("text", "key").union(replies.where("NOT hot").select("text", "key"))
     coded = both.join(hot, "key", "left").select("text", (F.col("key") * 2 + F.coalesce("hot", F.lit(0))).alias("code"))
-    return coded.groupBy("text").agg(F.collect_set("code").alias("codes"))
+    return coded.groupBy("text").agg(F.collect_set("code").alias("codes")), paths
 
 
 # -- sorted runs of suffixes, merged ---------------------------------------------------------------------
@@ -190,7 +196,7 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
     of the others are known to go.
     """
     def run(batch):
-        held, n, least, known = [], 0, {}, {}
+        held, n, least, known, waiting = [], 0, {}, {}, 0
         for doc_id, text, packed, codes in batch:
             data = zstandard.ZstdDecompressor().decompress(packed)
             at, hashes = anchors(data)
@@ -207,20 +213,20 @@ def _send(rows: DataFrame, buckets: int) -> DataFrame:
                         least[digest] = (doc_id, text, [s])
                         if first:
                             known.setdefault(first[:2], []).extend(first[2])
+                            waiting += len(first[2])
                     elif first[0] < doc_id:
                         gone.append(s)
                     elif first[1] == text:
                         first[2].append(s)
                     else:  # another text of the same id: its strings stand beside the first one's
                         least.setdefault(digest + text.to_bytes(8, "little", signed=True), (doc_id, text, []))[2].append(s)
-                if gone:
-                    known.setdefault((doc_id, text), []).extend(gone)
+                yield from spans({(doc_id, text): gone} if gone else {})
                 if len(least) > RUN:
                     yield from strings(least)
                     least = {}
-                if len(known) > RUN_DOCS:
+                if waiting > RUN:
                     yield from spans(known)
-                    known = {}
+                    known, waiting = {}, 0
             if cold.any():
                 held.append((doc_id, text, data, at[cold], code[cold] >> 41))
                 n += int(cold.sum())
@@ -339,8 +345,8 @@ def _least(group: pd.DataFrame) -> pd.DataFrame:
     begins = np.flatnonzero(np.append(len(doc) > 0, other | (start[1:] - start[:-1] > LENGTH))[:len(doc)])
     ends = np.append(begins[1:], len(doc))[:len(begins)] - 1
     rows = np.flatnonzero(np.append(len(begins) > 0, (doc[begins][1:] != doc[begins][:-1]) | (text[begins][1:] != text[begins][:-1]))[:len(begins)])
-    return pd.DataFrame({"doc_id": doc[begins][rows], "text": text[begins][rows], "starts": [x for x in np.split(start[begins], rows[1:])] if len(rows) else [],
-                         "ends": [x for x in np.split(start[ends] + LENGTH, rows[1:])] if len(rows) else []})
+    starts, stops = (np.split(x, rows[1:]) if len(rows) else [] for x in (start[begins], start[ends] + LENGTH))
+    return pd.DataFrame({"doc_id": doc[begins][rows], "text": text[begins][rows], "starts": pd.Series(starts, dtype=object), "ends": pd.Series(stops, dtype=object)})
 
 
 def repeated_spans(leads: DataFrame, buckets: int) -> DataFrame:
@@ -389,13 +395,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = staged(src.select("doc_id", "text", F.xxhash64(F.lit(1), "data").alias("check"), F.octet_length("data").cast("long").alias("n_bytes"),
                                F.sha2("data", 256).alias("sha")), "texts")
     size = narrow.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     # equal texts: the least id stands for all
     leads = staged(narrow.where("doc_id IS NOT NULL").groupBy("text", "check").agg(F.min("doc_id").alias("lead")), "leads")
-    codes = shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets)
+    codes, passing = shared_anchors(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)).select("text", "data"), buckets)
     chosen = leads.select(F.col("lead").alias("doc_id"), "text").distinct().join(codes, "text")
     long = _packed(src.where(F.col("doc_id").isNotNull() & (F.octet_length("data") >= LENGTH)))
-    spans = staged(repeated_spans(long.join(chosen, ["doc_id", "text"]).select("doc_id", "text", "packed", "codes"), buckets), "spans")
+    spans = repeated_spans(long.join(chosen, ["doc_id", "text"]).select("doc_id", "text", "packed", "codes"), buckets)
+    remove(docs.sparkSession, *passing)  # the runs are written
     lists = spans.groupBy("doc_id", "text").agg(F.collect_list(F.struct("starts", "ends")).alias("spans")).select(
         "doc_id", "text", F.flatten("spans.starts").alias("starts"), F.flatten("spans.ends").alias("ends"))
 
