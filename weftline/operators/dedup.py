@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import sketch, text as T
 from weftline.operators.rank import top_per_group
-from weftline.session import cut, staged
+from weftline.session import remove, staged, staged_at
 
 LEADERS = 16  # rows per bucket that the others are compared with in one round
 
@@ -69,8 +69,8 @@ def _keyed(df: DataFrame, order_by: str, bands: int, rows: int, col: str, max_wo
 def _members(keyed: DataFrame) -> DataFrame:
     """(ord, key) of the first document of every word set, in buckets of at least two."""
     firsts = keyed.groupBy("set_hash").agg(F.min("ord").alias("ord"))
-    return cut(shared_only(
-        keyed.join(firsts.select("ord"), "ord", "left_semi").select("ord", F.explode("keys").alias("key"))))
+    return staged(shared_only(
+        keyed.join(firsts.select("ord"), "ord", "left_semi").select("ord", F.explode("keys").alias("key"))), "members")
 
 
 def shared_only(members: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def divide(members: DataFrame, features: DataFrame, threshold: float, above: int
     puts shared boilerplate last, so members that only share boilerplate part ways.
     """
     counts = members.groupBy("key").agg(F.count("*").alias("n"))
-    large = cut(counts.where(F.col("n") > above).select("key"))
+    large = staged(counts.where(F.col("n") > above).select("key"), "large")
     if large.isEmpty():
         return members
     small = members.join(large, "key", "left_anti").select("ord", "key")
@@ -112,6 +112,12 @@ def _verified(pairs: DataFrame, features: DataFrame, similar) -> DataFrame:
     )
 
 
+def _laid(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a compressed table of a round, and its path for when the round is over."""
+    path = staged_at(df, "round")
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=None,
                        leaders: int = LEADERS) -> DataFrame:
     """(ord, kept_ord, score) for each row that an earlier surviving row makes redundant.
@@ -124,36 +130,45 @@ def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=
 
     members (ord, key), features (ord, feature), similar(a, b) -> score or NULL. The first round,
     with one leader, settles the copies; then refine(members) may split the buckets of the rows
-    left over as long as similar rows stay together.
+    left over as long as similar rows stay together. What a round leaves behind is deleted once the next
+    one is written; only the rows found redundant stay.
     """
-    open_, dropped, lead_count = cut(shared_only(members)), [], 1
+    spark = members.sparkSession
+    (open_, held), dropped, lead_count = _laid(shared_only(members)), [], 1
     while not open_.isEmpty():
         first = top_per_group(open_, "key", "ord", lead_count, "ord")
         led = first.groupBy("ord").agg(F.count("*").alias("led"))
         buckets = open_.groupBy("ord").agg(F.count("*").alias("all"))
-        covered = cut(led.join(buckets, "ord").where("led = all").select("ord"))
+        covered, past = _laid(led.join(buckets, "ord").where("led = all").select("ord"))
+        past = [past, held]
         pairs = open_.join(first.select("key", F.col("ord").alias("lead")), "key").where("lead < ord")
-        edges = cut(_verified(pairs.select("lead", "ord").distinct(), features, similar))
+        edges, path = _laid(_verified(pairs.select("lead", "ord").distinct(), features, similar))
+        past.append(path)
         settled = covered
         while True:
             heads = edges.select(F.col("lead").alias("ord")).distinct().join(
                 covered, "ord", "left_semi").join(edges.select("ord"), "ord", "left_anti")
-            gone = cut(
+            gone, path = _laid(
                 edges.join(heads.withColumnRenamed("ord", "lead"), "lead", "left_semi")
                 .groupBy("ord").agg(F.min(F.struct("lead", "score")).alias("by"))
                 .select("ord", F.col("by.lead").alias("kept_ord"), F.col("by.score").alias("score")))
             if gone.isEmpty():
+                past.append(path)
                 break
             dropped.append(gone)
             settled = settled.unionByName(gone.select("ord"))
-            edges = cut(edges.join(gone, "ord", "left_anti").join(
+            edges, path = _laid(edges.join(gone, "ord", "left_anti").join(
                 gone.select(F.col("ord").alias("lead")), "lead", "left_anti"))
+            past.append(path)
         # covered rows still waiting for the fate of an uncovered one stay open
         settled = settled.join(edges.select("ord"), "ord", "left_anti")
-        open_ = cut(shared_only(open_.join(settled, "ord", "left_anti")))
+        open_, held = _laid(shared_only(open_.join(settled, "ord", "left_anti")))
         lead_count = leaders
         if refine is not None and not open_.isEmpty():
-            open_, refine = cut(shared_only(refine(open_))), None
+            past.append(held)
+            (open_, held), refine = _laid(shared_only(refine(open_))), None
+        remove(spark, *past)
+    remove(spark, held)
     if not dropped:
         kind = features.schema["ord"].dataType.simpleString()
         return features.sparkSession.createDataFrame([], f"ord {kind}, kept_ord {kind}, score double")
