@@ -122,8 +122,8 @@ def bpe(merges, mark=""):
     return f"""base AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT unnest({words('text')}) AS w FROM documents) GROUP BY w),
 st AS (SELECT 0 AS rank, NULL::VARCHAR AS l, NULL::VARCHAR AS r, NULL::BIGINT AS c, w, '<' || array_to_string(string_split('{mark}' || w, ''), '><') || '>' AS s, n FROM base
   UNION ALL SELECT rank + 1, b.l, b.r, b.c, w, replace(s, '<' || b.l || '><' || b.r || '>', '<' || b.l || b.r || '>'), n
-  FROM st, (SELECT p.l, p.r, sum(n)::BIGINT AS c FROM (SELECT n, unnest(list_transform(list_zip(y[:-2], y[2:]), lambda z: struct_pack(l := z[1], r := z[2]))) AS p
-    FROM (SELECT n, string_split(s[2:-2], '><') AS y FROM st)) GROUP BY ALL ORDER BY c DESC, l, r LIMIT 1) b WHERE rank < {merges}),
+  FROM st, (SELECT -x.neg AS c, x.l, x.r FROM (SELECT min(struct_pack(neg := -k, l := pl, r := pr)) AS x FROM (SELECT p.l AS pl, p.r AS pr, sum(n)::BIGINT AS k FROM (SELECT n, unnest(list_transform(list_zip(y[:-2], y[2:]), lambda z: struct_pack(l := z[1], r := z[2]))) AS p
+    FROM (SELECT n, string_split(s[2:-2], '><') AS y FROM st)) GROUP BY p.l, p.r)) WHERE x IS NOT NULL) b WHERE rank < {merges}),
 merges AS (SELECT DISTINCT rank, l, r, c FROM st WHERE rank > 0)"""
 
 
