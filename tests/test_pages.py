@@ -1,6 +1,6 @@
 from weftline.functions import html as H
 from weftline.functions.registry import register_sql
-from weftline.operators import extract, graph
+from weftline.operators import extract, graph, robots
 
 LONG = "word " * 60
 
@@ -45,6 +45,13 @@ def test_links():
     assert H.page_links(page, "https://h/a/b") == ["https://h/a/c", "https://h/d"]
 
 
+def test_areas_are_followed_and_not_listed(spark):
+    page = "<map><area href='/m'><area></map><a href='/a'>x</a>"
+    assert H.page_links(parse(page), "https://h/") == ["https://h/a"]
+    pages = spark.createDataFrame([("https://h/", page)], "url string, html string")
+    assert {r["dst"] for r in graph.link_edges(pages, areas=True).collect()} == {"https://h/a", "https://h/m"}
+
+
 def test_unclosed_paragraphs_stay_shallow():
     page = parse("<body>" + "<p>x" * 50_000)
     assert len(page.stack) < 5
@@ -82,7 +89,7 @@ def test_robots_longest_rule_wins_and_allow_breaks_ties(spark):
     rules = spark.createDataFrame([("h", "/a", False), ("h", "/a/b", True), ("h", "/c", False), ("h", "/c", True)],
                                   "host string, path string, allow boolean")
     urls = spark.createDataFrame([(f"http://h{p}",) for p in ("/a", "/a/b/c", "/c/x", "/z")] + [("http://other/a",)], "url string")
-    got = {r["url"] for r in graph.robots_allowed(urls, rules).collect()}
+    got = {r["url"] for r in robots.robots_allowed(urls, rules).collect()}
     assert got == {"http://h/a/b/c", "http://h/c/x", "http://h/z", "http://other/a"}
 
 
@@ -90,3 +97,62 @@ def test_follow_filter(spark):
     edges = spark.createDataFrame([("s", u) for u in (
         "http://a.b/x?b=1&a=2#f", "http://a.b/x?a=2&b=1", "http://c.a.b/y.pdf", "http://xa.b/z")], "src string, dst string")
     assert [r["dst"] for r in graph.follow_filter(edges, ["a.b"]).collect()] == ["http://a.b/x?a=2&b=1"]
+
+
+def test_only_the_frontier_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUB_LINKS", 10)
+    hub = [("s", f"n{i}") for i in range(200)] + [(f"n{i}", f"m{i}") for i in range(200)] + [("n3", None)]
+    edges = spark.createDataFrame(hub, "src string, dst string")
+    seeds = spark.createDataFrame([("s",), ("s",), (None,)], "url string")
+    levels, step = [], graph.next_level
+
+    def watched(*args):
+        level = step(*args)
+        levels.append(level._jdf.queryExecution().toString())
+        return level
+
+    monkeypatch.setattr(graph, "next_level", watched)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reach = {r["url"]: r["depth"] for r in graph.crawl_reachability(edges, seeds, 1).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert reach == {"s": 0} | {f"n{i}": 1 for i in range(200)} | {f"m{i}": 2 for i in range(200)}
+    assert spark.sql("SHOW TABLES LIKE 'weftline_adjacency*'").count() == 0
+    for plan in levels:
+        lines = plan.split("== Physical Plan ==")[1].splitlines()
+        for at, line in enumerate(lines):
+            if "FileScan parquet" in line and "dsts" in line:
+                depth = line.index("FileScan")
+                above = []
+                for upper in reversed(lines[:at]):  # the nodes that enclose the scan
+                    indent = len(upper) - len(upper.lstrip(" :+-*()0123456789"))
+                    if indent < depth:
+                        above.append(upper)
+                        depth = indent
+                    if "Join" in upper:
+                        break
+                assert not any("Exchange" in node for node in above), plan
+
+
+def test_robots_patterns():
+    trie = robots.build_trie([("/a*b*c$", False), ("/a", True), ("/x$", False), ("/*.pdf", False), ("/y$z", False), ("*", True)])
+    for target, want in (("/a1b2c", (7, False)), ("/a1b2cd", (2, True)), ("/abcc", (7, False)), ("/ac", (2, True)),
+                         ("/x", (3, False)), ("/xy", (1, True)), ("/q/r.pdf?x", (6, False)), ("/y$z1", (4, False))):
+        assert robots.strongest(trie, target) == want, target
+    assert robots.strongest(robots.build_trie([]), "/a") is None
+    assert robots.fits("ab", 0, ["ab", "b"], True) is False  # the pieces may not overlap
+
+
+def test_robots_of_a_host_with_many_rules_and_urls(spark):
+    rules = spark.range(10_000).selectExpr("'big' AS host", "concat('/s', id, '/*x$') AS path", "false AS allow").unionByName(
+        spark.createDataFrame([("small", "/", False), ("small", "/?ok", True), ("small", "", False), (None, "/", False), ("big", "/s7/", None)],
+                              "host string, path string, allow boolean"))
+    big = spark.range(3000).selectExpr("concat('http://big/s', id * 4, '/', id % 3, if(id % 2 = 0, 'x', 'y')) AS url", "1 AS host")
+    urls = big.unionByName(spark.createDataFrame([("http://small", 2), ("http://small?ok", 2), ("http://none/", 2), (None, 2)], "url string, host int"))
+    got = {r["url"] for r in robots.robots_allowed(urls, rules, trie_rules=3000, slice_urls=500).collect()}
+    gone = {f"http://big/s{i * 4}/{i % 3}x" for i in range(0, 2500, 2)} | {"http://small"}
+    assert got == {r["url"] for r in urls.collect()} - gone
+    assert robots.robots_allowed(urls.limit(0), rules).count() == 0
+    assert robots.robots_allowed(urls, rules.limit(0)).count() == urls.count()

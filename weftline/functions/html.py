@@ -36,6 +36,7 @@ class _Page(HTMLParser):
         self.areas = {name: [] for name in AREAS}
         self.first = {}
         self.hrefs = []
+        self.area_hrefs = []
 
     def _push(self, tag, areas):
         self.stack.append((tag, areas))
@@ -70,6 +71,8 @@ class _Page(HTMLParser):
         given = dict(reversed(attrs))
         if tag == "a" and given.get("href") is not None:
             self.hrefs.append(given["href"])
+        if tag == "area" and given.get("href") is not None:
+            self.area_hrefs.append(given["href"])
         if tag == "body" and self.opened["body"]:
             return
         if tag not in HEAD_ONLY:
@@ -126,9 +129,9 @@ def page_text(page: _Page) -> str:
     return ""
 
 
-def page_links(page: _Page, url: str) -> list:
+def page_links(page: _Page, url: str, areas: bool = False) -> list:
     found = set()
-    for href in page.hrefs:
+    for href in page.hrefs + page.area_hrefs if areas else page.hrefs:
         try:
             target = urljoin(url, href)
             parts = urlparse(target)
@@ -139,7 +142,7 @@ def page_links(page: _Page, url: str) -> list:
     return sorted(found)
 
 
-def html_extract(html, url, exclude_subtrees: bool = False):
+def html_extract(html, url, exclude_subtrees: bool = False, areas: bool = False):
     """struct<title, text, links>; NULL for a page that cannot be parsed."""
 
     @F.pandas_udf(EXTRACTED)
@@ -148,7 +151,7 @@ def html_extract(html, url, exclude_subtrees: bool = False):
         for body, address in zip(pages, urls):
             try:
                 page = parse_page(body, exclude_subtrees)
-                rows.append((page_title(page), page_text(page), page_links(page, address)))
+                rows.append((page_title(page), page_text(page), page_links(page, address, areas)))
             except Exception:
                 rows.append((None, None, None))
         return pd.DataFrame(rows, columns=["title", "text", "links"])
@@ -165,8 +168,8 @@ def extract_main_text(html, exclude_subtrees: bool = False):
     return html_extract(html, F.lit(""), exclude_subtrees)["text"]
 
 
-def extract_links(html, url):
-    return html_extract(html, url)["links"]
+def extract_links(html, url, areas: bool = False):
+    return html_extract(html, url, areas=areas)["links"]
 
 
 def cap_links(links, n: int = 100):
