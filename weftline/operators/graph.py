@@ -46,7 +46,7 @@ def lay_out(edges: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     A source with many links is cut into chunks by a hash of the target, in buckets of their own.
     """
     spark = edges.sparkSession
-    edges = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL")
+    edges = staged(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL"), "edges")  # they may come from parsed pages
     hubs = staged(
         edges.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > HUB_LINKS)
         .select("src", F.ceil(F.col("n") / HUB_LINKS).alias("chunks")), "hubs")
