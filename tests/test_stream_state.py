@@ -88,3 +88,20 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert late >= 1                       # one window's rows reach the state summed up, as one row
     windows = [(r["window_start"], r["docs"]) for r in spark.read.parquet(out).collect()]
     assert len(windows) == len(set(w for w, _ in windows)) and sorted(n for _, n in windows)[-1] == 2
+
+
+def test_a_late_row_is_counted_and_windows_come_out_once(spark, tmp_path):
+    from weftline.streaming import ingest
+
+    arriving, out, state_at = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "ts timestamp_ntz, reason string"
+    late = 0
+    for seconds in ((1, 2, 11, 61), (3, 55, 200), (12, 199)):  # 3 and 12 come after their windows are out
+        spark.createDataFrame([(f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}", "a") for s in seconds], "ts string, reason string").selectExpr(
+            "CAST(ts AS TIMESTAMP_NTZ) AS ts", "reason").coalesce(1).write.mode("append").parquet(arriving)
+        query = ingest.stream_metrics(spark.readStream.schema(schema).parquet(arriving), out, state_at, "20 seconds")
+        query.awaitTermination()
+        late += ingest.late_rows(query)
+    got = {str(r["window_start"])[14:]: r["docs"] for r in spark.read.parquet(out).collect()}
+    assert late == 2 and got == {"00:00": 2, "00:10": 1, "00:50": 1, "01:00": 1}
+    assert spark.read.parquet(out).count() == 4

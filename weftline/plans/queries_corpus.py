@@ -134,15 +134,15 @@ def _(t):
     return stats.filter_counts_by_reason(exactly_cleaned(t).verdicts)
 
 
-@query("manifest_projection", f"""WITH {C.DOCS} SELECT CAST(doc_id AS VARCHAR) AS id, 'web_crawl' AS source, lang AS language,
-  CAST({C.count('body', T.WORD)} + {C.count('body', T.STOPS)} AS INTEGER) AS tokens, 'unknown' AS license, '2024-01-01T00:00:00' AS timestamp FROM docs""")
+@query("manifest_projection", f"""WITH {C.SCORED} SELECT CAST(doc_id AS VARCHAR) AS id, 'web_crawl' AS source, lang AS language, round(q, 6) AS quality_score,
+  CAST({C.count('body', T.WORD)} + {C.count('body', T.STOPS)} AS INTEGER) AS tokens, 'unknown' AS license, '2024-01-01T00:00:00' AS timestamp FROM scored""")
 def _(t):
     from weftline.sources.writers import manifest_projection
 
     body = T.strip("content")
     rows = t.raw.select("id", F.lit("web_crawl").alias("source"), F.col("lang").alias("language"), S.quality_score(body).alias("quality_score"),
                         T.estimate_tokens(body).alias("token_estimate"), F.lit("unknown").alias("license"), "timestamp")
-    return manifest_projection(rows).drop("quality_score")
+    return manifest_projection(rows).withColumn("quality_score", F.round("quality_score", 6))
 
 
 @query("quality_histogram", f"WITH {C.SCORED} SELECT CAST(least(floor(q * 10), 9) AS INTEGER) AS bin, count(*) AS docs FROM scored GROUP BY 1")

@@ -39,13 +39,26 @@ def _(t):
     return good.select("id", F.md5("content").alias("md5"), "content_length")
 
 
-@query("scan_recent_files", RAW_SQL)
-def _(t):
-    started = time.time()
-    good, _rejects = readers.scan_raw(t.spark, raw_files(t, 1000), since=started)
+@query("scan_recent_files", RAW_SQL + " WHERE lang <> 'en'")
+def _(t):
+    """The files of English documents are made a day old, so that a scan since now leaves them out."""
+    path, started = scratch_path(t.spark, "raw"), time.time()
+    for part in ("lang = 'en'", "lang <> 'en'"):
+        writers.write_raw(t.raw.where(part).drop("ord", "source", "lang"), path, 1000)
+        if part == "lang = 'en'":
+            set_age(t.spark, path, started - 86_400)
+    good, _rejects = readers.scan_raw(t.spark, path, since=started)
     return good.select("id", F.md5("content").alias("md5"), "content_length")
 
 
+def set_age(spark, folder, seconds):
+    """Date all files of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), int(seconds * 1000), -1)
+
+
 @query("sink_raw_batches", RAW_SQL)
 def _(t):
     rows = t.spark.read.schema(readers.schemas.RAW).json(raw_files(t))
@@ -77,20 +90,30 @@ def _(t):
     return readers.scan_cleaned(t.spark, path).select("id", "language", "quality_score", "content_length", F.md5("content").alias("md5"))
 
 
-@query("sink_manifest", """SELECT CAST(doc_id AS VARCHAR) AS id, 'web_crawl' AS source, lang AS language, 'unknown' AS license FROM documents""")
+TOKENS = f"CAST({C.count('body', T.WORD)} + {C.count('body', T.STOPS)} AS INTEGER)"
+
+
+@query("sink_manifest", f"""WITH {C.SCORED} SELECT CAST(doc_id AS VARCHAR) AS id, 'web_crawl' AS source, lang AS language, round(q, 6) AS quality_score,
+  {TOKENS} AS tokens, 'unknown' AS license, '{RUN_TS}' AS timestamp FROM scored""")
 def _(t):
     path = scratch_path(t.spark, "manifest")
     writers.write_manifest(cleaned(t), path)
     rows = t.spark.read.schema("id string, source string, language string, quality_score double, tokens int, license string, timestamp string").json(path)
-    return rows.select("id", "source", "language", "license")
+    return rows.withColumn("quality_score", F.round("quality_score", 6))
 
 
-@query("sink_stats_csv", CLEANED_SQL)
+@query("sink_stats_csv", f"""WITH {C.SCORED} SELECT CAST(doc_id AS VARCHAR) AS id, 'https://' || source || '.example.com/' || doc_id AS original_url,
+  source || '.example.com' AS domain, 'No Title' AS title, md5({C.clean('body')}) AS md5, lang AS language, 1.0::DOUBLE AS language_confidence,
+  round(q, 6) AS quality_score, CAST(len AS INTEGER) AS content_length, {TOKENS} AS token_estimate, sha256(text) AS content_hash, '' AS duplicate_hash,
+  '{RUN_TS}' AS timestamp, 'web_crawl' AS source, 'unknown' AS license, '[]' AS tags FROM scored""")
 def _(t):
     path = scratch_path(t.spark, "stats")
     writers.write_stats_csv(cleaned(t), path)
     rows = t.spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
-    return rows.select("id", F.md5("content").alias("md5"), "language", F.col("token_estimate").cast("int").alias("token_estimate"))
+    numbers = {"language_confidence": "double", "quality_score": "double", "content_length": "int", "token_estimate": "int"}
+    rows = rows.withColumns({c: F.col(c).cast(kind) for c, kind in numbers.items()})
+    return rows.withColumns({"md5": F.md5("content"), "quality_score": F.round("quality_score", 6),
+                             "duplicate_hash": F.coalesce("duplicate_hash", F.lit(""))}).drop("content")
 
 
 def shard_files(t):
@@ -103,11 +126,16 @@ def shard_files(t):
 _SHARD_ROWS = f"WITH {SHARDED} SELECT CAST(doc_id AS VARCHAR) AS doc_id, split, shard_id, CAST(n AS INTEGER) AS token_count, md5(array_to_string(tokens, ',')) AS md5 FROM ranked"
 
 
-@query("sink_parquet_shards", f"WITH {SHARDED} SELECT DISTINCT split, shard_id, 1::BIGINT AS files FROM ranked")
+# every file with the tokens it holds, in the order it holds them
+@query("sink_parquet_shards", f"""WITH {SHARDED} SELECT split, shard_id, count(*) AS rows, sum(n)::BIGINT AS tokens,
+  md5(string_agg(doc_id || ':' || array_to_string(tokens, ','), ';' ORDER BY position)) AS md5 FROM ranked GROUP BY split, shard_id""")
 def _(t):
-    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(shard_files(t))
-    part = r"split=([^/]+)/shard_id=([^/]+)/"
-    return files.groupBy(F.regexp_extract("path", part, 1).alias("split"), F.regexp_extract("path", part, 2).alias("shard_id")).agg(F.count("*").alias("files"))
+    rows = readers.scan_shards(t.spark, shard_files(t)).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    row = F.struct("at", F.concat_ws(":", "doc_id", F.array_join("tokens", ",")).alias("row"))
+    held = rows.groupBy("file", "split", "shard_id").agg(  # a shard's size is a parameter
+        F.count("*").alias("rows"), F.sum("token_count").alias("tokens"), F.array_sort(F.collect_list(row))["row"].alias("all"))
+    return held.select("split", "shard_id", "rows", "tokens", F.md5(F.array_join("all", ";")).alias("md5"))
 
 
 @query("scan_shards", _SHARD_ROWS)
@@ -132,9 +160,15 @@ def manifest_rows(t):
     return readers.scan_manifest(t.spark, path)
 
 
-@query("sink_split_manifest", f"WITH {SHARDED} SELECT count(DISTINCT shard_id) AS total_shards, count(*) AS total_documents, sum(n)::BIGINT AS total_tokens FROM ranked GROUP BY split")
+@query("sink_split_manifest", f"""WITH {SHARDED}, s AS (SELECT split, shard_id, count(*) AS d, sum(n)::BIGINT AS k FROM ranked GROUP BY ALL)
+SELECT split, '1.0' AS version, '{RUN_TS}' AS created_at, count(*) AS total_shards, sum(d)::BIGINT AS total_documents, sum(k)::BIGINT AS total_tokens,
+  string_agg(shard_id || ':' || d || ':' || k, ',' ORDER BY shard_id) AS shards FROM s GROUP BY split""")
 def _(t):
-    return manifest_rows(t).select("total_shards", "total_documents", "total_tokens").distinct()
+    path = scratch_path(t.spark, "manifests")
+    writers.write_split_manifest(sharded(t), path, RUN_TS)
+    rows = t.spark.read.schema(readers.schemas.SPLIT_MANIFEST).option("multiLine", True).json(path)
+    shards = F.transform("shards", lambda s: F.concat_ws(":", s["shard_id"], s["documents"], s["tokens"]))
+    return rows.withColumn("shards", F.array_join(shards, ","))
 
 
 @query("scan_split_manifest", f"WITH {SHARDED} SELECT shard_id, count(*) AS documents, sum(n)::BIGINT AS tokens FROM ranked GROUP BY split, shard_id")
@@ -398,6 +432,23 @@ def _(t):
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")
 
 
+# every tenth event comes after the others, an hour's watermark behind the newest
+_LATE = """m AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events WHERE event_id % 10 <> 0),
+w AS (SELECT time_bucket(INTERVAL '10 seconds', ts) AS s, event_type, count(*) AS docs FROM events WHERE event_id % 10 <> 0 GROUP BY ALL)"""
+
+
+@query("stream_metrics_late", f"""WITH {_LATE} SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS reason, docs
+FROM w, m WHERE s + INTERVAL '10 seconds' <= mark""")
+def _(t):
+    out, arriving, checkpoint = (scratch_path(t.spark, name) for name in ("windows-stream", "arriving", "stream-state"))
+    rows = t.events.select("event_id", "ts", F.col("event_type").alias("reason"))
+    for part in (rows.where("event_id % 10 <> 0"), rows.where("event_id % 10 = 0")):
+        part.write.mode("append").parquet(arriving)
+        ingest.stream_metrics(t.spark.readStream.schema(rows.schema).parquet(arriving), out, checkpoint, "1 hour").awaitTermination()
+    windows = writers.read_stream_output(t.spark, out, "window_start timestamp_ntz, reason string, docs bigint")
+    return windows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "reason", "docs")
+
+
 @query("stream_ingest_judged", f"""WITH {C.SCORED} SELECT CAST(doc_id AS VARCHAR) AS id, md5({C.clean('body')}) AS md5, lang AS language,
   round(q, 6) AS quality_score FROM judged WHERE reason0 IS NULL""")
 def _(t):

@@ -56,8 +56,31 @@ def stream_dedup(sdf: DataFrame, ts: str | None = None, watermark: str | None =
 
 def metrics_window(df: DataFrame, ts: str = "ts", reason: str = "reason", width: str = "10 seconds",
                    watermark: str | None = None) -> DataFrame:
-    """Counts per reason and tumbling window, for streams and for batches alike."""
+    """Counts per reason and tumbling window, for streams and for batches alike.
+
+    A watermark needs instants: times without a zone are taken in the session's, and given back without one.
+    """
+    kind = df.schema[ts].dataType
     if watermark:
-        df = df.withWatermark(ts, watermark)
+        df = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     return df.groupBy(F.window(ts, width), reason).agg(F.count("*").alias("docs")).select(
-        F.col("window.start").alias("window_start"), reason, "docs")
+        F.col("window.start").cast(kind).alias("window_start"), reason, "docs")
+
+
+def stream_metrics(sdf: DataFrame, out: str, checkpoint: str, watermark: str, ts: str = "ts", reason: str = "reason",
+                   width: str = "10 seconds", trigger: dict | None = None):
+    """Append each window once, as Parquet, when the watermark has passed its end; returns the running query.
+
+    Rows that come after their window is out are dropped; `late_rows` tells how many.
+    """
+    windows = metrics_window(sdf, ts, reason, width, watermark)
+    return windows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(
+        **(trigger or {"availableNow": True})).start(out)
+
+
+def late_rows(query) -> int:
+    """Rows that a query's stateful operators dropped behind the watermark, over the progress it still holds.
+
+    Spark counts them after the partial aggregation: late rows of one task, window and reason are one.
+    """
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
