@@ -309,3 +309,20 @@ def test_checksum_covers_files(spark, tmp_path):
     V.create_version(store, "", df, "2024-01-02", files=str(files))
     sums = [r["checksum"] for r in store.versions.orderBy("created_at").collect()]
     assert sums[0] != sums[1]
+
+
+def test_what_readers_leave_out_is_listed(spark, tmp_path):
+    folder = tmp_path / "cleaned"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text('{"id": "1", "content": "x"}\n{"content": "y"}\nno json\n')
+    assert [r["id"] for r in readers.scan_cleaned(spark, str(folder)).collect()] == ["1"]
+    got = {r["reason"]: r["line"] for r in readers.cleaned_rejects(spark, str(folder)).collect()}
+    assert got == {"corrupt": "no json", "no_id": '{"content":"y"}'}
+    shards = str(tmp_path / "shards")
+    spark.createDataFrame([("d", "train", "0000"), ("e", "train", "0001")], "doc_id string, split string, shard_id string").repartition(
+        "shard_id").write.partitionBy("split", "shard_id").parquet(shards)
+    broken = tmp_path / "shards" / "split=train" / "shard_id=0002" / "part-x.parquet"
+    broken.parent.mkdir()
+    broken.write_bytes(b"no parquet")
+    assert {r["doc_id"] for r in readers.scan_shards(spark, shards).collect()} == {"d", "e"}
+    assert [r["file"].rsplit("/", 1)[1] for r in readers.silent_shards(spark, shards).collect()] == ["part-x.parquet"]

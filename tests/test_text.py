@@ -125,3 +125,31 @@ def test_modules_travel_after_their_functions_were_used(column):
     column(sketch.simhash64, "a b"), column(scoring.char_entropy, "aab"), column(scoring.normalize_unicode, "é"), column(sketch.minhash_signature, "a b")
     for module in (scoring, sketch, text):
         assert cloudpickle.dumps(lambda: module)  # noqa: B023
+
+
+def test_breaks_follow_the_weights():
+    from weftline.functions import hyphenation as hy
+
+    trie = hy.pattern_trie(("hy3ph", "he2n", "hena4", "hen5at", "1na", "n2at", "1tio", "2io", "o2n"))
+    assert hy.breaks("hyphenation", trie) == [2, 6] and hy.breaks("", trie) == [] and hy.breaks("hy", trie) == []
+    assert hy.breaks("table", hy.pattern_trie((".ta1b", "1ble", "bl2e."))) == [2]
+    assert hy.breaks("xaxax", hy.pattern_trie(("1x",))) == [2]      # two letters stay on either side
+
+
+def test_syllables_by_patterns(spark):
+    from weftline.functions import hyphenation as hy
+
+    table = spark.createDataFrame([("o1n",), ("O1N",), (None,), (" ",)], "pattern string")
+    patterns = hy.load_patterns(table)
+    assert patterns == ("o1n",)
+    rows = spark.createDataFrame([(0, "Melone salon. "), (1, ""), (2, None), (3, "melone " * 100_000)], "i int, c string")
+    assert [r["n"] for r in rows.select("i", hy.syllables("c", patterns).alias("n")).orderBy("i").collect()] == [3, 0, None, 200_000]
+
+
+def test_reading_ease_of_plain_prose_lies_on_the_scale(spark):
+    from weftline.functions import hyphenation as hy
+
+    patterns = [f"{v}1{c}{w}" for v in "aeiou" for c in "bcdfgklmnprtv" for w in "aeiou"]
+    text = "The old man went to the river. He sat by the water and waited for a boat. A lady came along the road."
+    rows = spark.createDataFrame([(text,)], "c string")
+    assert 60 <= rows.select(hy.flesch_reading_ease("c", patterns).alias("x")).first()["x"] <= 120

@@ -388,6 +388,34 @@ def _(t):
     return jobs.job_params(t.job_events.select("event_id", "params"), defaults=given).drop("params")
 
 
+@query("sink_jobs_table", f"""WITH {_EV} SELECT job_id AS id, type AS job_type, status, round(CAST(progress AS FLOAT)::DOUBLE, 4) AS progress, message,
+  {_STAMP.format('created_at')}, {_STAMP.format('updated_at')} FROM jobs""")
+def _(t):
+    path = scratch_path(t.spark, "jobs-table")
+    rows = t.jobs.withColumnsRenamed({"job_id": "id", "type": "job_type"})
+    writers.insert_absent(rows.where("status = 'queued'"), "jobs", path)
+    table = writers.insert_absent(rows, "jobs", path)
+    return table.select("id", "job_type", "status", F.round(F.col("progress").cast("double"), 4).alias("progress"), "message",
+                        stamp("created_at"), stamp("updated_at"))
+
+
+@query("sink_versions_table", f"WITH {_V} SELECT version, description, docs, {_STAMP.format('created_at').replace('strftime(created_at', 'strftime(CAST(created_at AS TIMESTAMP)')}, 64 AS checksum_digits FROM v")
+def _(t):
+    path = scratch_path(t.spark, "versions-table")
+    rows = store(t).versions.withColumn("statistics", F.to_json("statistics"))
+    table = writers.insert_absent(rows.select("version", "description", "statistics", "checksum", "created_at"), "dataset_versions", path)
+    return table.select("version", "description", F.get_json_object("statistics", "$.total_docs").cast("double").alias("docs"),
+                        stamp("created_at"), F.length("checksum").alias("checksum_digits"))
+
+
+@query("cleaned_rejects", "SELECT 'no_id' AS reason, count(*) AS lines FROM documents WHERE lang = 'fr'")
+def _(t):
+    path = scratch_path(t.spark, "cleaned")
+    nameless = F.when(F.col("lang") != "fr", F.col("id")).alias("id")
+    writers.write_cleaned(t.raw.select(nameless, "content"), path)
+    return readers.cleaned_rejects(t.spark, path).groupBy("reason").agg(F.count("*").alias("lines"))
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 def doc_stream(t):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.functions import scoring as S, sketch, text as T
+from weftline.functions import hyphenation, scoring as S, sketch, text as T
 from weftline.operators import filters, language, quality
 from weftline.plans import catalog as C
 from weftline.plans.catalog import query
@@ -104,6 +104,40 @@ def _(t):
     return t.texts.select("doc_id", F.round(S.quality_score_weighted("text"), 9).alias("quality_score"))
 
 
+# patterns by rule: a break before every consonant but s that the corpus holds between two vowels
+_VCV = "[aeiou][b-df-hj-np-rtv-z][aeiou]"
+_BREAKS = f"""CAST(list_sum(list_transform(list_transform(regexp_extract_all(lower(text), '{C.quoted(T.LEXEME)}'),
+  lambda x: regexp_replace(x, '[^\\p{{L}}\\p{{N}}_'']', '', 'g')), lambda w:
+  1 + len(list_filter(range(2, length(w) - 1), lambda j: regexp_matches(w[j:j + 2], '^{_VCV}$'))))) AS BIGINT)"""
+
+
+def vowel_patterns(t):
+    """v1cv for every vowel, consonant but s, vowel of the corpus."""
+    found = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"(?=({_VCV}))"), F.lit(1))))
+    triples = t.texts.select(found.alias("g")).distinct()
+    return hyphenation.load_patterns(triples.select(F.regexp_replace("g", "^(.)", "$11").alias("pattern")))
+
+
+@query("syllables_hyphenated", f"SELECT doc_id, coalesce({_BREAKS}, 0) AS syllables FROM documents")
+def _(t):
+    return t.texts.select("doc_id", hyphenation.syllables("text", vowel_patterns(t)).alias("syllables"))
+
+
+@query("flesch_hyphenated", f"""SELECT doc_id, round(206.835::DOUBLE - 1.015::DOUBLE * ({_LEX} / greatest(1, {C.count("text", T.SENTENCE)}))
+  - 84.6::DOUBLE * (coalesce({_BREAKS}, 0) / greatest(1, {_LEX})), 6) AS value FROM documents""")
+def _(t):
+    return t.texts.select("doc_id", F.round(hyphenation.flesch_reading_ease("text", vowel_patterns(t)), 6).alias("value"))
+
+
+@query("head_truncations", f"""SELECT doc_id, md5(left(text, 1000)) AS language_head, md5(left(text, 512)) AS model_head,
+  CAST(len(list_distinct({C.words('text')}[1:1000])) AS INTEGER) AS words_of_signature, md5(array_to_string({C.words('text')}[1:2048], ' ')) AS token_head FROM documents""")
+def _(t):
+    return t.texts.select(
+        "doc_id", F.md5(F.left("text", F.lit(1000))).alias("language_head"), F.md5(F.left("text", F.lit(512))).alias("model_head"),
+        F.size(sketch.word_set("text", max_words=1000)).alias("words_of_signature"),
+        F.md5(F.array_join(F.slice(T.words("text"), 1, 2048), " ")).alias("token_head"))
+
+
 @query("normalize_unicode", "SELECT doc_id, nfc_normalize(text) AS value FROM documents")
 def _(t):
     return t.texts.select("doc_id", S.normalize_unicode("text").alias("value"))

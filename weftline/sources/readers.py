@@ -71,6 +71,23 @@ def scan_cleaned(spark: SparkSession, path: str) -> DataFrame:
     })
 
 
+def cleaned_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason, line) of what scan_cleaned leaves out: lines that are no JSON objects, and those without an id."""
+    rows = _jsonl(spark, path, schemas.CLEANED).withColumn("file", F.col("_metadata.file_path"))
+    fields = F.to_json(F.struct(*[f for f in rows.columns if f not in ("_corrupt_record", "file")]))
+    return rows.where("_corrupt_record IS NOT NULL OR id IS NULL").select(
+        "file", F.when(F.col("_corrupt_record").isNotNull(), "corrupt").otherwise("no_id").alias("reason"),
+        F.coalesce("_corrupt_record", fields).alias("line"))
+
+
+def silent_shards(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length) of the Parquet files under a shard folder that give scan_shards no row, unreadable or empty."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(path).select(F.col("_metadata.file_path").alias("file"), "length")
+    read = scan_shards(spark, path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return files.join(read, "file", "left_anti")
+
+
 def scan_shards(spark: SparkSession, path: str) -> DataFrame:
     """Shard rows with split and shard_id; unreadable shard files are skipped, a folder without any is an error."""
     try:
