@@ -127,6 +127,18 @@ def test_walk_settles_a_long_chain_and_a_hot_bucket(spark):
     assert all(r["kept_ord"] == r["ord"] - 1 for r in gone)
 
 
+def test_rounds_grow_slowly_in_a_bucket_of_unlike_rows(spark, monkeypatch):
+    # pairs (2i, 2i + 1) are similar, all else is not; leaders double: 1, 4, 8, 16, 32
+    n, taken, top = 80, [], dedup.top_per_group
+    monkeypatch.setattr(dedup, "top_per_group", lambda df, by, order, k, salt_on: taken.append(k) or top(df, by, order, k, salt_on))
+    members = spark.createDataFrame([(i, 1) for i in range(n)], "ord int, key bigint")
+    features = spark.createDataFrame([(i, i // 2) for i in range(n)], "ord int, feature int")
+    gone = dedup.keep_first_similar(members, features, lambda a, b: F.when(a == b, F.lit(1.0)), leaders=4).collect()
+    assert sorted(r["ord"] for r in gone) == list(range(1, n, 2))
+    assert all(r["kept_ord"] == r["ord"] - 1 for r in gone)
+    assert taken[:4] == [1, 4, 8, 16] and len(taken) <= 6
+
+
 def test_simhash_walk_equals_brute_force(spark):
     texts = corpus(4)
     df = docs(spark, texts)

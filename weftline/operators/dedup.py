@@ -17,7 +17,8 @@ from weftline.functions import sketch, text as T
 from weftline.operators.rank import top_per_group
 from weftline.session import remove, staged, staged_at
 
-LEADERS = 16  # rows per bucket that the others are compared with in one round
+LEADERS = 16  # rows per bucket that the others are compared with in the second round; twice as many in each later one
+MOST_LEADERS = 1000  # up to which the first rows of a bucket are found on the map side; rounds go on beyond it
 
 
 def keep_first(df: DataFrame, key, order_by: str, scope=None) -> DataFrame:
@@ -102,11 +103,14 @@ def divide(members: DataFrame, features: DataFrame, threshold: float, above: int
     return small.unionByName(split).distinct()
 
 
-def _verified(pairs: DataFrame, features: DataFrame, similar) -> DataFrame:
-    """(lead, ord, score) of the pairs that are similar."""
+def _verified(pairs: DataFrame, heads: DataFrame, features: DataFrame, similar) -> DataFrame:
+    """(lead, ord, score) of the pairs that are similar; heads: the features of the leads.
+
+    Pairs and heads are tables whose sizes Spark knows: where they are small, no feature is shuffled.
+    """
     return (
-        pairs.join(features.select(F.col("ord").alias("lead"), F.col("feature").alias("_a")), "lead")
-        .join(features.select("ord", F.col("feature").alias("_b")), "ord")
+        pairs.join(features.select("ord", F.col("feature").alias("_b")), "ord")
+        .join(heads.select(F.col("ord").alias("lead"), F.col("feature").alias("_a")), "lead")
         .select("lead", "ord", similar(F.col("_a"), F.col("_b")).alias("score"))
         .where("score IS NOT NULL")
     )
@@ -126,7 +130,8 @@ def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=
     similar to, an earlier row that was kept. In a round the first few open rows of every bucket
     lead it and the bucket's other rows are compared with them alone, so a bucket of n copies costs
     n comparisons and not n squared. A row that leads all its buckets has met every earlier open
-    row, so its fate follows from the similar pairs found. Rounds go on until no bucket is open.
+    row, so its fate follows from the similar pairs found. Rounds go on until no bucket is open; the
+    leaders double from round to round, so that a bucket of n unlike rows takes about log n rounds.
 
     members (ord, key), features (ord, feature), similar(a, b) -> score or NULL. The first round,
     with one leader, settles the copies; then refine(members) may split the buckets of the rows
@@ -142,7 +147,11 @@ def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=
         covered, past = _laid(led.join(buckets, "ord").where("led = all").select("ord"))
         past = [past, held]
         pairs = open_.join(first.select("key", F.col("ord").alias("lead")), "key").where("lead < ord")
-        edges, path = _laid(_verified(pairs.select("lead", "ord").distinct(), features, similar))
+        pairs, path = _laid(pairs.select("lead", "ord").distinct())
+        past.append(path)
+        heads, path = _laid(features.join(pairs.select(F.col("lead").alias("ord")).distinct(), "ord", "left_semi"))
+        past.append(path)
+        edges, path = _laid(_verified(pairs, heads, features, similar))
         past.append(path)
         settled = covered
         while True:
@@ -163,7 +172,7 @@ def keep_first_similar(members: DataFrame, features: DataFrame, similar, refine=
         # covered rows still waiting for the fate of an uncovered one stay open
         settled = settled.join(edges.select("ord"), "ord", "left_anti")
         open_, held = _laid(shared_only(open_.join(settled, "ord", "left_anti")))
-        lead_count = leaders
+        lead_count = max(leaders, min(2 * lead_count, MOST_LEADERS))
         if refine is not None and not open_.isEmpty():
             past.append(held)
             (open_, held), refine = _laid(shared_only(refine(open_))), None
