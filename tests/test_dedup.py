@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -180,3 +181,33 @@ def test_keep_first_with_null_keys_and_scopes(spark):
     df = spark.createDataFrame(rows, "id int, content string, source string")
     assert {r["id"] for r in dedup.dedup_exact(df).collect()} == {1, 4}
     assert {r["id"] for r in dedup.dedup_exact(df, scope=["source"]).collect()} == {1, 3, 4, 6}
+
+
+def test_outlines_rule_out_unlike_sets_only(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [rng.randrange(-2**62, 2**62) for _ in range(n)]
+    base = fresh(300)
+    sets = [[], base] + [base[:300 - k] + fresh(k) for k in range(0, 300, 7)] + [base[:n] for n in (200, 239, 240, 241, 270)]
+    rows = spark.createDataFrame(list(enumerate(sets)), "ord int, feature array<bigint>").select("ord", sketch.outline("feature").alias("o"))
+    a, b = rows.toDF("a", "x"), rows.toDF("b", "y")
+    may = {(r["a"], r["b"]): r["may"] for r in a.crossJoin(b).select("a", "b", sketch.may_be_similar(F.col("x"), F.col("y"), 0.8).alias("may")).collect()}
+    out = 0
+    for (i, j), held in may.items():
+        x, y = set(sets[i]), set(sets[j])
+        similar = len(x & y) >= 0.8 * len(x | y) - 1e-12
+        assert held or not similar
+        out += not held
+    assert out > len(may) / 2
+
+
+def test_features_are_read_for_possible_pairs_only_and_nothing_stays(spark, monkeypatch):
+    seen, verified = [], dedup._verified
+    monkeypatch.setattr(dedup, "_verified", lambda pairs, *more: seen.append(pairs.count()) or verified(pairs, *more))
+    shared = " ".join(f"same{i}" for i in range(60))  # Jaccard 0.6: in common buckets, but not similar
+    texts = [shared + " " + " ".join(f"own{k}x{i}" for i in range(20)) for k in range(40)]
+    folder = spark.conf.get("spark.checkpoint.dir")
+    held = set(os.listdir(folder))
+    pairs = dedup.near_dup_pairs(docs(spark, texts + [texts[3] + " more"])).collect()
+    assert [(r["a"], r["b"]) for r in pairs] == [(3, 40)]
+    assert sum(seen) < 20
+    assert not [name for name in set(os.listdir(folder)) - held if name.startswith(("features", "wordsets"))]

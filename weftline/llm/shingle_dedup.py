@@ -64,10 +64,10 @@ def near_duplicates(rows: DataFrame, number_col: str = "row_number", id_col: str
             yield row, doc_id, shingles(text).tolist()
 
     wanted = src.join(members.select("ord.row_number").distinct().hint("merge"), "row_number", "left_semi")
-    features = staged(map_rows(wanted, sets, T.StructType([
-        number, id_field(src), T.StructField("feature", T.ArrayType(T.LongType()))])), "shingle-sets").select(order.alias("ord"), "feature")
-    gone = dedup.keep_first_similar(members, features, dedup._similar_sets(SIMILAR),
-                                    lambda open_: dedup.divide(open_, features, SIMILAR))
+    features = map_rows(wanted, sets, T.StructType([
+        number, id_field(src), T.StructField("feature", T.ArrayType(T.LongType()))])).select(order.alias("ord"), "feature").repartition(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ord")
+    gone = dedup.similar_sets_gone(members, features, SIMILAR)
     same = keys.groupBy("set_hash").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = keys.select("ord", "set_hash").join(same, "set_hash").where("ord <> first")
     return gone.select("ord.row_number").union(copies.select("ord.row_number"))
