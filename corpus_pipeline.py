@@ -38,7 +38,7 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """By op1's fingerprints, which no stage uses: the document of smallest id (null last) of each group; one row of those that repeat."""
+    """By op1's fingerprints: the document of smallest id (null last) of each group; one row of those that repeat."""
     rows = _numbered(docs)
     groups = simhash_dedup.simhash_components(rows, id_col="row_number").select(F.col("doc_id").alias("row_number"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_number")
@@ -46,6 +46,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.join(first.select("first.row_number").hint("merge"), "row_number", "left_semi").select(docs.columns)
 
 
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash groups first, then what their three bits miss: documents left that are similar by exact shingle sets."""
+    left = staged(drop_near_duplicates(spark, docs, sf_dir), "simhash")
+    return drop_similar(spark, left, sf_dir)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in their texts masked and n_chars to match."""
     texts = docs.withColumn("text", secrets_scan.masked(F.col("text"), by_window=True))
@@ -67,7 +73,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", keep_quality),
-    ("simhash_near_dedup", drop_similar),
+    ("simhash_near_dedup", drop_near),
     ("secret_scan", mask_secrets),
     ("mix_sources", mix_sources),
     ("packing", pack_sequences),

@@ -78,3 +78,21 @@ def test_run_and_odd_rows(spark, tmp_path):
     frame.limit(0).write.parquet(str(empty / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(empty / "labels.parquet"))
     assert P.run(spark, str(empty)).collect() == []
+
+
+def test_near_duplicates_go_by_fingerprint_and_by_shingles(spark, monkeypatch):
+    asked, components = [], P.simhash_dedup.simhash_components
+    monkeypatch.setattr(P.simhash_dedup, "simhash_components", lambda *a, **k: asked.append(1) or components(*a, **k))
+    words = [f"w{i}" for i in range(400)]
+    near = words[:200] + ["other"] + words[201:]
+    # the same three-word runs in another order: one fingerprint, few five-word runs in common
+    runs = [f"{x} {y} {z}" for x, y, z in zip(words[::3], words[1::3], words[2::3])]
+    one, two = " ".join(["a b c d a b c", *["a b c"] * 5]), " ".join(["a b c", *["a b c"] * 5, "d a b c"])
+    rows = [(1, " ".join(words), "en", "a", 1), (2, " ".join(near), "en", "a", 1), (3, " ".join(reversed(words)), "en", "a", 1),
+            (4, " ".join(runs[::-1]), "en", "a", 1), (5, one, "en", "a", 1), (6, two, "en", "a", 1), (7, None, None, None, None), (7, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(P.STAGES)["simhash_near_dedup"](spark, docs, FOLDER)
+    groups = brute_components([r[0] for r in rows], [brute_print(r[1] or "") for r in rows])
+    assert asked and kept.columns == docs.columns
+    found = sorted(r["doc_id"] for r in kept.collect())
+    assert set(found) <= {g for g in groups} and 1 in found and 2 not in found and found.count(7) <= 1
