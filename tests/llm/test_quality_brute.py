@@ -151,3 +151,13 @@ def test_classifier_equals_plain_python(spark):
         row = got[r["doc_id"]]
         assert (row["p_quality"], row["p_toxic"]) == (pytest.approx(quality, abs=1e-6), pytest.approx(toxic, abs=1e-6))
         assert row["toxic"] == (toxic >= 0.5) and row["kept"] == (quality >= 0.5 and toxic < 0.5)
+
+
+def test_weights_come_from_all_rows_of_a_table(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=500) > 0).astype(float)
+    rows = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y)], "x0 double, x1 double, x2 double, y long").repartition(7)
+    assert np.allclose(C.fit_rows(rows, ["x0", "x1", "x2"], "y"), C.fit_logistic(x, y), atol=1e-9)
+    assert not C.fit_rows(rows.where("y = 1"), ["x0"], "y").any() and not C.fit_rows(rows.limit(0), ["x0"], "y").any()
+    assert not hasattr(C, "MAX_LABELLED")

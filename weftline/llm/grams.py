@@ -88,10 +88,3 @@ def repeat_words(words: list) -> int:
 def label_rows(labels: DataFrame) -> DataFrame:
     """One row an id (the lowest labels where an id repeats), so that a join keeps every document once."""
     return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-
-
-def label_sample(labels: DataFrame, most: int) -> DataFrame:
-    """About `most` of the label_rows, chosen by a hash of the id; all of them where there are fewer."""
-    rows = label_rows(labels)
-    share = -(-rows.count() // most)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(share, 1))) == 0)

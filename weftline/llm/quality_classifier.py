@@ -19,7 +19,6 @@ from weftline.llm import grams
 from weftline.llm.common import id_field, map_rows, texts
 from weftline.session import staged
 
-MAX_LABELLED = 50_000   # labelled documents the evidence is fitted on, about
 WORD_BUCKETS = 1 << 18
 PRIOR_WORDS = 50.0      # documents of prior weight behind each word's rate
 WORDS = re.compile(r"\w+").findall
@@ -64,22 +63,55 @@ def _word_rates(rows: DataFrame) -> np.ndarray:
     return np.log((out[1] + PRIOR_WORDS * rate) / (out.sum(0) + PRIOR_WORDS)) - np.log(rate)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights (last: intercept) of a ridge logistic model by Newton steps; zeros where a class is missing."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    if len(y) == 0 or y.min() == y.max():
-        return w
-    keep = np.diag([ridge] * (len(w) - 1) + [1e-6])
+def _newton(sums, size: int, ridge: float) -> np.ndarray:
+    """Weights of a ridge logistic model (last: intercept); sums(w) gives the curvature and the slope over all rows."""
+    w = np.zeros(size)
+    keep = np.diag([ridge] * (size - 1) + [1e-6])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + keep, x.T @ (y - p) - keep @ w)
+        curve, slope = sums(w)
+        step = np.linalg.solve(curve + keep, slope - keep @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights (last: intercept) of a ridge logistic model by Newton steps; zeros where a class is missing."""
+    x = np.column_stack([x, np.ones(len(x))])
+    if len(y) == 0 or y.min() == y.max():
+        return np.zeros(x.shape[1])
+
+    def sums(w):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        return (x * (p * (1 - p) + 1e-9)[:, None]).T @ x, x.T @ (y - p)
+
+    return _newton(sums, x.shape[1], ridge)
+
+
+def fit_rows(rows: DataFrame, names: list, label: str, ridge: float = 1.0) -> np.ndarray:
+    """fit_logistic over a table of any length: a step is one aggregate, a few numbers reach the driver."""
+    x = [*map(F.col, names), F.lit(1.0)]
+    n = len(x)
+    low, high = rows.agg(F.min(label), F.max(label)).first()
+    if low == high:
+        return np.zeros(n)
+    upper = [(i, j) for i in range(n) for j in range(i, n)]
+
+    def sums(w):
+        z = sum((xi * F.lit(float(wi)) for xi, wi in zip(x, w)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+        at = rows.select(*(v.alias(f"v{i}") for i, v in enumerate(x)), p.alias("p"), F.col(label).alias("y"))
+        weight = F.col("p") * (1 - F.col("p")) + 1e-9
+        found = at.agg(*(F.sum(weight * F.col(f"v{i}") * F.col(f"v{j}")) for i, j in upper),
+                       *(F.sum(F.col(f"v{i}") * (F.col("y") - F.col("p"))) for i in range(n))).first()
+        curve = np.zeros((n, n))
+        for (i, j), s in zip(upper, found):
+            curve[i, j] = curve[j, i] = s
+        return curve, np.array(found[len(upper):])
+
+    return _newton(sums, n, ridge)
+
 
 def posterior(scored: DataFrame, vote: str, host: str = "host", path: str = "path") -> DataFrame:
     """scored + `<vote>_prior`: the probability its site gives a document, its own vote left out.
@@ -114,16 +146,17 @@ def posterior(scored: DataFrame, vote: str, host: str = "host", path: str = "pat
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang",
-                       id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, p_quality, p_toxic, toxic, kept) for every row: kept if quality is likelier than not and toxic is not.
 
+    The evidence is learned from all labelled documents.
+
     Null hosts and paths are a site of their own, null texts are empty, null ids and repeated rows stay,
     other columns are ignored and an empty table gives an empty one. Without labels of both kinds the
     probabilities are 0.5 (kept) for quality and 0 for toxicity.
     """
     src = texts(docs, id_col, text_col, binary=False)
-    sample = staged(grams.label_sample(labels, max_labelled), "labels")
-    known = staged(src.join(F.broadcast(sample), "doc_id").select("text", F.coalesce("quality", F.lit(0)).cast("long").alias("quality"),
+    known = staged(src.join(grams.label_rows(labels), "doc_id").select("text", F.coalesce("quality", F.lit(0)).cast("long").alias("quality"),
                                                                   F.coalesce("toxic", F.lit(0)).cast("long").alias("toxic"),
                                                                   F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")), "labelled")
     # half of the labelled rows for the n-gram and word tables, the other half for the weights
@@ -138,10 +171,11 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "sour
 
     names = [f"x{i}" for i in range(MEASURES)]
     doubles = ", ".join(f"{n} double" for n in names)
-    fit = np.array(map_rows(known.where("half = 1").select("text", "quality", "toxic"), measure,
-                            f"quality long, toxic long, {doubles}").collect(), float).reshape(-1, 2 + MEASURES)
-    models = [(fit_logistic(fit[:, 2:5], fit[:, 0]), fit[:, 0]), (fit_logistic(fit[:, 5:6], fit[:, 1]), fit[:, 1])]
-    lean = [float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0 for _, y in models]
+    fit = staged(map_rows(known.where("half = 1").select("text", "quality", "toxic"), measure,
+                          f"quality long, toxic long, {doubles}"), "measured")
+    models = [fit_rows(fit, names[:3], "quality"), fit_rows(fit, names[3:], "toxic")]
+    n, *ones = fit.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("quality", "toxic"))).first()
+    lean = [float(np.log((s + 0.5) / (n - s + 0.5))) for s in ones]
 
     where = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -149,7 +183,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "sour
     def score(rows):
         for doc_id, host, path, text in rows:
             x = _features(text, good, toxic)
-            logits = [float(np.dot(w[:-1], v) + w[-1]) for (w, _), v in zip(models, (x[:3], x[3:]))]
+            logits = [float(np.dot(w[:-1], v) + w[-1]) for w, v in zip(models, (x[:3], x[3:]))]
             yield doc_id, host, path, *(z - p for z, p in zip(logits, lean)), *(1 / (1 + float(np.exp(-np.clip(z, -30, 30)))) for z in logits)
 
     fields = [T.StructField(n, where.schema[n].dataType) for n in ("doc_id", "host", "path")]
@@ -160,7 +194,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "sour
     def combined(evidence, prior):
         return 1 / (1 + F.exp(-(F.col(evidence) + F.log(F.col(prior) / (1 - F.col(prior))))))
 
-    trained = [bool(w.any()) for w, _ in models]
+    trained = [bool(w.any()) for w in models]
     p_quality = combined("e_quality", "quality_prior") if trained[0] else F.lit(0.5)
     p_toxic = combined("e_toxic", "toxicity_prior") if trained[1] else F.lit(0.0)
     return both.select("doc_id", p_quality.alias("p_quality"), p_toxic.alias("p_toxic")).withColumn("toxic", F.col("p_toxic") >= 0.5).withColumn(
