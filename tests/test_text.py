@@ -153,3 +153,25 @@ def test_reading_ease_of_plain_prose_lies_on_the_scale(spark):
     text = "The old man went to the river. He sat by the water and waited for a boat. A lady came along the road."
     rows = spark.createDataFrame([(text,)], "c string")
     assert 60 <= rows.select(hy.flesch_reading_ease("c", patterns).alias("x")).first()["x"] <= 120
+
+
+def test_tasks_hold_small_batches_of_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from weftline.functions import html as H, hyphenation, registry
+    from weftline.operators import graph, language, tokenize
+
+    batch, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.range(0, 3000, 1, 1).select(F.concat(F.lit("word "), "id").alias("content"))
+    pages = spark.createDataFrame([("http://a.b/", '<title>t</title><a href="c">x</a><area href="d">'), ("http://a.b/", None)], "url string, html string")
+    sized = registry.register_tokenizer("sized", lambda texts, n: [[len(texts)]] * len(texts))
+    for use in (lambda: tokenize.tokenize(rows, sized, min_tokens=1), lambda: language.fit_language_profiles(rows.select(F.lit("en").alias("lang"), F.col("content").alias("text"))),
+                lambda: graph.link_edges(pages)):
+        spark.conf.set(batch, "10000")
+        use().count()
+        assert int(spark.conf.get(batch)) <= 1000
+    most = tokenize.tokenize(rows, sized, min_tokens=1).select(F.max(F.col("tokens")[0])).first()[0]
+    assert most <= registry.TEXTS_AT_ONCE
+    for areas in (False, True):
+        both = pages.select(H.extract_links("html", "url", areas).alias("a"), H.html_extract("html", "url", areas=areas)["links"].alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in both) and both[1]["a"] is None
+    assert [hyphenation.bare(w) for w in ("salon.", "o'neil!", "x_1́²", "ß")] == ["salon", "o'neil", "x_1²", "ß"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from weftline.functions import html as H, text as T
 
+TEXTS_AT_ONCE = 200  # texts a tokenizer is given in one call
 _HOOKS: dict = {"scorer": {}, "detector": {}, "tokenizer": {}}
 
 
@@ -36,9 +38,12 @@ def register_language_detector(name: str, fn):
 def register_tokenizer(name: str, fn):
     """fn(list of texts, max_length) -> list of id lists."""
     def tokenizer(content, max_length: int):
-        @F.pandas_udf("array<int>")
-        def encode(texts: pd.Series) -> pd.Series:
-            return pd.Series(fn(list(texts), max_length), dtype=object)
+        @F.arrow_udf("array<int>")
+        def encode(texts: pa.Array) -> pa.Array:
+            kind, parts = pa.list_(pa.int32()), []
+            for at in range(0, len(texts), TEXTS_AT_ONCE):  # id lists of Python are far larger than arrays
+                parts.append(pa.array(fn(texts.slice(at, TEXTS_AT_ONCE).to_pylist(), max_length), kind))
+            return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
         return encode.asNondeterministic()(content)
 

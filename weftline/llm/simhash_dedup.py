@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from weftline.llm.common import id_field, map_rows, texts
 from weftline.llm.components import components
-from weftline.session import staged
+from weftline.session import small_batches, staged
 
 BITS = 3        # fingerprints link at this many differing bits or fewer
 SHINGLE = 3     # words a shingle
@@ -166,7 +166,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay null and do not count as smallest; an empty table gives an empty one; other columns are ignored.
     """
     own = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    roots = components(links(own))
+    near = staged(links(own), "links")
+    small_batches(docs.sparkSession)  # those of fingerprints are larger than texts allow
+    roots = components(near)
     low = own.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     low = low.withColumn("root", F.coalesce("root", "fp"))
     named = low.select("fp", "root").join(low.groupBy("root").agg(F.min("low").alias("component_id")), "root")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
+from weftline.session import small_batches
 
 # Special tokens, in id order.
 SPECIALS = ("<pad>", "<unk>", "<bos>", "<eos>")
@@ -68,6 +69,7 @@ def tokenize(df: DataFrame, tokenizer, max_length: int = 2048, min_tokens: int =
 
     `tokenizer(content, max_length)` is a Column function giving array<int>.
     """
+    small_batches(df.sparkSession)
     ready = df.withColumn("_text", T.strip(F.coalesce(F.col(col), F.lit("")))).where("_text <> ''")
     coded = ready.withColumn("tokens", F.slice(tokenizer(F.col("_text"), max_length), 1, max_length)).drop("_text")
     return coded.where(F.size("tokens") >= min_tokens).withColumns({
