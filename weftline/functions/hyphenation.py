@@ -6,6 +6,8 @@ are laid over it and the greatest weight of each place counts; where it is odd t
 
 from __future__ import annotations
 
+from unicodedata import category
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +67,11 @@ def breaks(word: str, trie: dict) -> list:
     return [i for i in range(MARGIN, len(word) - MARGIN + 1) if best[i + 1] % 2]
 
 
+def bare(word: str) -> str:
+    """Letters, numbers, underscores and apostrophes of a lexeme: "salon." breaks as "salon"."""
+    return word if word.isalpha() else "".join(ch for ch in word if ch in "_'" or category(ch)[0] in "LN")
+
+
 def syllables(c, patterns):
     """Syllables of a text's words, one more than its breaks each; NULL for NULL, 0 without words."""
     patterns = tuple(patterns)
@@ -76,7 +83,7 @@ def syllables(c, patterns):
         def of(word):
             n = known.get(word)
             if n is None:
-                n = len(breaks(word, trie)) + 1
+                n = len(breaks(bare(word), trie)) + 1
                 if len(known) < REMEMBERED:
                     known[word] = n
             return n
@@ -84,8 +91,7 @@ def syllables(c, patterns):
         return texts.map(lambda words: sum(map(of, words)), na_action="ignore").astype("Int64")
 
     lexemes = F.regexp_extract_all(F.lower(T.col(c)), F.lit(f"({T.LEXEME})"), F.lit(1))
-    bare = F.transform(lexemes, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_']", ""))  # "salon." breaks as "salon"
-    return count.asNondeterministic()(bare)  # not repeated for a filter above it
+    return count.asNondeterministic()(lexemes)  # not repeated for a filter above it
 
 
 def flesch_reading_ease(c, patterns):
