@@ -326,3 +326,25 @@ def test_what_readers_leave_out_is_listed(spark, tmp_path):
     broken.write_bytes(b"no parquet")
     assert {r["doc_id"] for r in readers.scan_shards(spark, shards).collect()} == {"d", "e"}
     assert [r["file"].rsplit("/", 1)[1] for r in readers.silent_shards(spark, shards).collect()] == ["part-x.parquet"]
+
+
+def test_a_version_computes_its_rows_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def marked(x):
+        runs.add(1)
+        return f"text {x}"
+
+    s = V.VersionStore(spark, str(tmp_path / "store"))
+    rows = spark.range(50).select(F.col("id").cast("string").alias("id"), marked.asNondeterministic()("id").alias("content"), F.expr("uuid()").alias("mark"))
+    V.create_version(s, "marked", rows, "2024-01-01T00:00:00")
+    assert runs.value == 50 and V.load_version(s, "1.0").count() == 50
+
+
+def test_a_shard_folder_is_looked_into_up_to_its_first_file(spark, tmp_path):
+    (tmp_path / "shards" / "split=val").mkdir(parents=True)
+    (tmp_path / "shards" / "split=val" / "note.txt").write_text("x")
+    assert not readers._any_parquet(spark, str(tmp_path / "shards")) and not readers._any_parquet(spark, str(tmp_path / "none"))
+    spark.range(3).write.parquet(str(tmp_path / "shards" / "split=train"))
+    assert readers._any_parquet(spark, str(tmp_path / "shards"))

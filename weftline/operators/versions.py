@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from weftline import schemas
 from weftline.functions import text as T
 from weftline.operators.stats import filter_rate, side_by_side
+from weftline.session import remove, staged_at
 from weftline.sources.writers import table_exists
 
 COMPONENT_VERSIONS = {"crawler": "1.0.0", "processor": "1.0.0", "tokenizer": "1.0.0"}  # fixed values
@@ -133,16 +134,18 @@ def _append_version(store: VersionStore, name: str, description: str, df: DataFr
     text, layout = F.to_json(F.struct(*df.columns)), _layout(df)
     row_hash = F.sha2(F.concat_ws("|", F.lit(layout), text), 256)
     content = F.col("content_hash") if "content_hash" in df.columns else T.content_hash(text)
-    hashed = df.withColumn("row_hash", row_hash)
+    path = staged_at(df.withColumns({"row_hash": row_hash, "_content": content}), "version")  # df is computed once, then read
+    hashed = store.spark.read.schema(f"{layout}, row_hash string, _content string").parquet(path)
+    df = hashed.select(*df.columns)
     bucket = F.substring("row_hash", 1, BUCKET).alias("bucket")
-    found = hashed.select("row_hash", content.alias("content_hash")).groupBy("row_hash").agg(
+    found = hashed.select("row_hash", F.col("_content").alias("content_hash")).groupBy("row_hash").agg(
         F.first("content_hash").alias("content_hash"), F.count("*").alias("n"))
     # ranges of hashes a file: a filter on buckets skips files and row groups by their bounds
     laid = found.select("*", bucket).repartitionByRange("bucket", "row_hash").sortWithinPartitions("bucket", "row_hash")
     laid.write.mode("overwrite").parquet(store.at(f"members/version={name}"))
     own = members(store, name)
     fresh = own.join(_stored(store, layout).select("row_hash"), "row_hash", "left_anti").select("row_hash")
-    new = hashed.join(fresh, "row_hash", "left_semi").dropDuplicates(["row_hash"])
+    new = hashed.drop("_content").join(fresh, "row_hash", "left_semi").dropDuplicates(["row_hash"])
     new.write.mode("overwrite").parquet(store.at(f"documents/version={name}"))
     counted = own.select("row_hash", "n")
     if files is not None:
@@ -159,6 +162,7 @@ def _append_version(store: VersionStore, name: str, description: str, df: DataFr
         "statistics", "quality_metrics",
         _pairs(provenance).alias("provenance"), "checksum",
     ).write.mode("append").parquet(store.at("versions"))
+    remove(store.spark, path)
 
 
 def next_version(versions: DataFrame) -> str:

@@ -16,7 +16,7 @@ from weftline.plans.catalog import ORACLES, query
 from weftline.plans.queries_corpus import SHARDED, sharded
 from weftline.plans.queries_text import profiles
 from weftline.plans.tables import RUN_TS
-from weftline.session import scratch_path
+from weftline.session import scratch_path, staged
 from weftline.sources import readers, writers
 from weftline.streaming import ingest, state
 
@@ -187,17 +187,18 @@ def _(t):
 
 # -- versions -------------------------------------------------------------------------------------
 
-def snapshot(t, where="true"):
-    return t.raw.where(where).select("id", "content_hash", F.length("content").alias("content_length"),
+def snapshot(t):
+    return t.raw.select("id", "content_hash", F.length("content").alias("content_length"),
                                      T.estimate_tokens("content").alias("token_count"), F.col("lang").alias("language"), "source")
 
 
 def store(t):
     """Three versions: English only, all languages, and a named one without English."""
     s = V.VersionStore(t.spark, scratch_path(t.spark, "store"))
-    V.create_version(s, "English", snapshot(t, "lang = 'en'"), "2024-01-01T00:00:00")
-    V.create_version(s, "all languages", snapshot(t), "2024-01-02T00:00:00")
-    V.save_version(s, "rest", "without English", snapshot(t, "lang <> 'en'"), "2024-01-03T00:00:00")
+    rows = staged(snapshot(t), "snapshot")  # texts are read once for the three
+    V.create_version(s, "English", rows.where("language = 'en'"), "2024-01-01T00:00:00")
+    V.create_version(s, "all languages", rows, "2024-01-02T00:00:00")
+    V.save_version(s, "rest", "without English", rows.where("language <> 'en'"), "2024-01-03T00:00:00")
     return s
 
 
