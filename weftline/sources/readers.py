@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,13 +88,24 @@ def silent_shards(spark: SparkSession, path: str) -> DataFrame:
     return files.join(read, "file", "left_anti")
 
 
+def _any_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a Parquet file; looks no further than the first, so that files are listed once, by the read."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return False
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def scan_shards(spark: SparkSession, path: str) -> DataFrame:
     """Shard rows with split and shard_id; unreadable shard files are skipped, a folder without any is an error."""
-    try:
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-            "recursiveFileLookup", "true").load(path).select("path").limit(1).collect()[0]
-    except (AnalysisException, IndexError):
-        raise FileNotFoundError(f"no Parquet files under {path}") from None
+    if not _any_parquet(spark, path):
+        raise FileNotFoundError(f"no Parquet files under {path}")
     return (
         spark.read.schema(schemas.SHARD + ", split string, shard_id string")
         .option("ignoreCorruptFiles", "true").parquet(path)
