@@ -82,6 +82,23 @@ def test_classifier_edges(spark):
     assert {(r["p_quality"], r["p_toxic"], r["kept"]) for r in C.quality_classifier(docs, labels.limit(0)).collect()} == {(0.5, 0.0, True)}
 
 
+def test_learning_holds_half_of_the_labelled_texts_and_leaves_none(spark, monkeypatch):
+    data, docs, labels = rows(spark)
+    held, staged = {}, C.staged
+
+    def noted(df, name):
+        out = staged(df, name)
+        held[name] = (out.count(), out.inputFiles()[0].removeprefix("file:"))
+        return out
+
+    monkeypatch.setattr(C, "staged", noted)
+    assert C.quality_classifier(docs, labels).count() == len(data)
+    known = docs.join(labels.select("doc_id").distinct(), "doc_id")
+    n, file = held["labelled"]
+    assert n == known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).count() < known.count()
+    assert not os.path.exists(file) and os.path.exists(held["evidence"][1])
+
+
 def test_priors_shrink_sparse_sites(spark):
     votes = [("big", "a", 0.9)] * 200 + [("bad", "a", 0.1)] * 200 + [("new", "a", 0.9), ("new", "a", 0.9)]
     df = spark.createDataFrame(votes, "host string, path string, v double")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from weftline.llm import grams
 from weftline.llm.common import id_field, map_rows, texts
-from weftline.session import staged
+from weftline.session import passing, staged
 
 WORD_BUCKETS = 1 << 18
 PRIOR_WORDS = 50.0      # documents of prior weight behind each word's rate
@@ -156,14 +156,19 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "sour
     probabilities are 0.5 (kept) for quality and 0 for toxicity.
     """
     src = texts(docs, id_col, text_col, binary=False)
-    known = staged(src.join(grams.label_rows(labels), "doc_id").select("text", F.coalesce("quality", F.lit(0)).cast("long").alias("quality"),
-                                                                  F.coalesce("toxic", F.lit(0)).cast("long").alias("toxic"),
-                                                                  F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")), "labelled")
+    marks = grams.label_rows(labels).select("doc_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("quality", "toxic")))
+
+    def known(half):
+        """(text, quality, toxic) of a half of the labelled rows; texts of this half alone are shuffled, at any size."""
+        own = src.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half)
+        return own.join(marks.hint("shuffle_hash"), "doc_id").select("text", "quality", "toxic")
+
     # half of the labelled rows for the n-gram and word tables, the other half for the weights
-    tables = known.where("half = 0")
-    good, bad = grams.corpus_counts(tables.select(F.col("text").cast("binary").alias("text"),
-                                                  F.when(F.col("quality") == 1, 1).otherwise(2).alias("classes")), 2)
-    good, toxic = grams.log_ratio(good, bad), _word_rates(tables.select("text", "toxic"))
+    with passing(docs.sparkSession):
+        tables = staged(known(0), "labelled")
+        good, bad = grams.corpus_counts(tables.select(F.col("text").cast("binary").alias("text"),
+                                                      F.when(F.col("quality") == 1, 1).otherwise(2).alias("classes")), 2)
+        good, toxic = grams.log_ratio(good, bad), _word_rates(tables.select("text", "toxic"))
 
     def measure(rows):
         for text, *labels_of in rows:
@@ -171,7 +176,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host_col: str = "sour
 
     names = [f"x{i}" for i in range(MEASURES)]
     doubles = ", ".join(f"{n} double" for n in names)
-    fit = staged(map_rows(known.where("half = 1").select("text", "quality", "toxic"), measure,
+    fit = staged(map_rows(known(1), measure,
                           f"quality long, toxic long, {doubles}"), "measured")
     models = [fit_rows(fit, names[:3], "quality"), fit_rows(fit, names[3:], "toxic")]
     n, *ones = fit.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("quality", "toxic"))).first()
