@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import mixing, packing, quality_rules, secrets_scan, shingle_dedup, simhash_dedup
-from weftline.session import scratch_path, staged
+from weftline.session import passing, scratch_path, settled, staged
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -30,26 +30,31 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.passing(docs, _table(spark, sf_dir, "labels"))
 
 
-def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no kept one of smaller id (null last) resembles: Jaccard 0.8 or more over five-word shingles."""
-    rows = _numbered(docs)
-    gone = shingle_dedup.near_duplicates(rows)
-    return rows.join(gone.hint("merge"), "row_number", "left_anti").select(docs.columns)
+def _firsts(rows: DataFrame) -> DataFrame:
+    """(row_number) of the row of smallest id (null last) of each group by op1's fingerprints."""
+    groups = simhash_dedup.simhash_components(rows, id_col="row_number").select(F.col("doc_id").alias("row_number"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_number")
+    first = groups.join(rows.select("row_number", "doc_id"), "row_number").groupBy("component_id").agg(F.min(order).alias("first"))
+    return first.select("first.row_number")
+
+
+def _chosen(rows: DataFrame, numbers: DataFrame, columns: list) -> DataFrame:
+    return rows.join(numbers.hint("merge"), "row_number", "left_semi").select(columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """By op1's fingerprints: the document of smallest id (null last) of each group; one row of those that repeat."""
     rows = _numbered(docs)
-    groups = simhash_dedup.simhash_components(rows, id_col="row_number").select(F.col("doc_id").alias("row_number"), "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_number")
-    first = groups.join(rows.select("row_number", "doc_id"), "row_number").groupBy("component_id").agg(F.min(order).alias("first"))
-    return rows.join(first.select("first.row_number").hint("merge"), "row_number", "left_semi").select(docs.columns)
+    return _chosen(rows, settled(spark, "firsts", lambda: _firsts(rows)), docs.columns)
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash groups first, then what their three bits miss: documents left that are similar by exact shingle sets."""
-    left = staged(drop_near_duplicates(spark, docs, sf_dir), "simhash")
-    return drop_similar(spark, left, sf_dir)
+    """SimHash groups first, then what their three bits miss: of the documents left, those stay that no one kept of smaller
+    id (null last) resembles, by Jaccard 0.8 or more over five-word shingles. Texts are numbered once; verdicts are numbers."""
+    rows = _numbered(docs)
+    firsts = settled(spark, "firsts", lambda: _firsts(rows))
+    gone = settled(spark, "similar", lambda: shingle_dedup.near_duplicates(rows, among=firsts))
+    return _chosen(rows, firsts.join(gone, "row_number", "left_anti"), docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +66,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     rows = _numbered(docs)
-    taken = mixing.mix(rows, carry=("row_number",)).where("copies > 0").select("row_number", "copies")
+    taken = settled(spark, "taken", lambda: mixing.mix(rows, carry=("row_number",)).where("copies > 0").select("row_number", "copies"))
     repeated = rows.join(taken.hint("merge"), "row_number").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return repeated.select(docs.columns)
 
@@ -85,6 +90,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

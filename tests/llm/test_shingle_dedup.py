@@ -1,3 +1,4 @@
+import os
 import random
 
 import corpus_pipeline as P
@@ -44,6 +45,27 @@ def test_rows_to_drop_equal_brute_force(spark):
     assert S.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_rows_left_out_drop_nothing(spark):
+    rows = cases()
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_number long, doc_id long, text string")
+    part = [i for i in range(len(rows)) if i % 3]
+    gone = {r[0] for r in S.near_duplicates(df, among=df.where("row_number % 3 > 0").select("row_number")).collect()}
+    assert sorted(set(part) - gone) == [part[i] for i in brute([rows[i] for i in part])] and gone <= set(part)
+
+
+def test_stage_holds_texts_once(spark):
+    """One copy of the texts and the numbers of rows are all that the stage leaves on disk for its result."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+    rows = [(i, " ".join(f"w{(i // 2) * 100 + k}" for k in range(80)) + " x" * (i % 2), "en", "a", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for step, most in (("simhash_near_dedup", {"numbered", "firsts", "similar"}), ("mix_sources", {"numbered", "taken"})):
+        before = set(os.listdir(folder))
+        kept = dict(P.STAGES)[step](spark, docs, "")
+        left = [name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before]
+        assert sorted(left) == sorted(most)
+        assert kept.count() == (20 if "near" in step else kept.count()) > 0
+
+
 def test_stage_drops_pairs_at_0_8(spark):
     """One word of sixty changed: far beyond three bits of a fingerprint, and a near-duplicate."""
     rng = random.Random(1)

@@ -211,3 +211,17 @@ def test_features_are_read_for_possible_pairs_only_and_nothing_stays(spark, monk
     assert [(r["a"], r["b"]) for r in pairs] == [(3, 40)]
     assert sum(seen) < 20
     assert not [name for name in set(os.listdir(folder)) - held if name.startswith(("features", "wordsets"))]
+
+
+def test_pairs_that_outlines_rule_out_are_not_made(spark, monkeypatch):
+    """The join of rows with their leads tests outlines itself; a bucket of unlike rows makes no pair."""
+    plans, laid = [], dedup._laid
+    monkeypatch.setattr(dedup, "_laid", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or laid(df))
+    sets = [list(range(100 * i, 100 * i + 60)) for i in range(30)]
+    sets += [s[:-1] for s in sets[:5]]
+    features = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "ord long, feature array<long>").repartition(8, "ord")
+    members = spark.createDataFrame([(i, 7) for i in range(len(sets))], "ord long, key long")
+    gone = dedup.similar_sets_gone(members, features, 0.8).collect()
+    assert sorted((r["ord"], r["kept_ord"]) for r in gone) == [(30 + i, i) for i in range(5)]
+    met = [line for plan in plans for line in plan.splitlines() if "Join Inner" in line and "lead" in line and "<" in line]
+    assert met and all("bit_count" in line for line in met)

@@ -37,9 +37,11 @@ def _keys(hashes: np.ndarray) -> list:
     return [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(values)]
 
 
-def near_duplicates(rows: DataFrame, number_col: str = "row_number", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(rows: DataFrame, number_col: str = "row_number", id_col: str = "doc_id", text_col: str = "text",
+                    among: DataFrame | None = None) -> DataFrame:
     """(row_number) of the rows to drop: those similar to a row that stays, of a smaller id (null last) or number.
 
+    Of the rows, only those of the numbers (row_number) of `among` take part, if it is given.
     `number_col` is unique. Equal shingle sets are folded by hash first. Null texts are empty; texts
     without words equal each other; an empty table gives an empty one.
     """
@@ -54,9 +56,11 @@ def near_duplicates(rows: DataFrame, number_col: str = "row_number", id_col: str
 
     none = F.lit("" if isinstance(src.schema["doc_id"].dataType, T.StringType) else 0).cast(src.schema["doc_id"].dataType)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", none).alias("id"), "row_number")
-    keys = staged(map_rows(src, keyed, T.StructType([
-        number, id_field(src), T.StructField("set_hash", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])), "shingle-keys")
-    keys = keys.select(order.alias("ord"), "set_hash", "keys")
+    keys = map_rows(src, keyed, T.StructType([
+        number, id_field(src), T.StructField("set_hash", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
+    if among is not None:
+        keys = keys.join(among.hint("merge"), "row_number", "left_semi")
+    keys = staged(keys, "shingle-keys").select(order.alias("ord"), "set_hash", "keys")
     members = dedup._members(keys)
 
     def sets(batch):
