@@ -114,6 +114,35 @@ def test_dividing_buckets_loses_no_pair(spark):
     assert wanted <= together
 
 
+def test_overlapping_buckets_count_words_once(spark, monkeypatch):
+    """Buckets of much the same rows: words are counted once for all, and pairs are those of one bucket alone."""
+    texts = corpus(3)
+    rng = random.Random(4)
+    held = {(i, k) for k in range(12) for i in range(len(texts)) if rng.random() < 0.9} | {(i, 50 + i % 2) for i in range(len(texts))}
+    members = spark.createDataFrame(sorted(held), "ord int, key bigint")
+    features = docs(spark, texts).select(F.col("id").alias("ord"), sketch.word_set("content").alias("feature"))
+    counted, plain = [], dedup.staged
+
+    def staged(df, name):
+        out = plain(df, name)
+        if name == "often":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "staged", staged)
+    buckets, keys = {}, {}
+    for r in dedup.divide(members, features, 0.8, above=4).collect():
+        buckets.setdefault(r["key"], set()).add(r["ord"])
+    for i, k in held:
+        keys.setdefault(i, set()).add(k)
+    together = {(a, b) for m in buckets.values() for a in m for b in m if a < b}
+    shared = {(a, b) for a in keys for b in keys if a < b and keys[a] & keys[b]}
+    similar = near(0.8)
+    assert {(a, b) for a, b in shared if similar(texts[a], texts[b])} <= together <= shared
+    vocabulary = {w for t in texts for w in words(t)}
+    assert 0 < sum(counted) <= 2 * len(vocabulary)
+
+
 def test_walk_settles_a_long_chain_and_a_hot_bucket(spark):
     # numbers within distance 1 are similar; all share one bucket, so 0, 2, 4, ... survive
     n = 40
