@@ -105,3 +105,15 @@ def test_a_late_row_is_counted_and_windows_come_out_once(spark, tmp_path):
     got = {str(r["window_start"])[14:]: r["docs"] for r in spark.read.parquet(out).collect()}
     assert late == 2 and got == {"00:00": 2, "00:10": 1, "00:50": 1, "01:00": 1}
     assert spark.read.parquet(out).count() == 4
+
+
+def test_flushed_files_come_alone(spark, tmp_path):
+    """Ten rows a file and no checksum file beside it; the session's settings are as before."""
+    src, out = str(tmp_path / "docs"), tmp_path / "out"
+    spark.createDataFrame([(str(i), f"text {i}") for i in range(25)], "id string, content string").coalesce(1).write.parquet(src)
+    sdf = spark.readStream.schema("id string, content string").parquet(src)
+    ingest.periodic_flush(sdf, str(out), str(tmp_path / "state")).awaitTermination()
+    files = [p for p in out.iterdir() if p.is_file()]
+    assert sorted(len(p.read_text().splitlines()) for p in files) == [5, 10, 10]
+    assert sorted(r["id"] for r in spark.read.json(str(out)).collect()) == sorted(map(str, range(25)))
+    assert all(spark.conf.get(name, None) is None for name in ingest.PLAIN_FILES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,25 @@ def clean_rows(df: DataFrame, cfg: Config = Config(), profiles: dict | None = No
     return kept.withColumns({"token_estimate": T.estimate_tokens("content"), "content": T.clean_content("content")})
 
 
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+@contextmanager
+def _plain_files(spark: SparkSession):
+    """A query started inside writes no checksum file beside each file of a local folder; other file systems have none.
+
+    Without Hadoop's native library each file and each checksum file costs a process that sets its mode.
+    """
+    before = {name: spark.conf.get(name, None) for name in PLAIN_FILES}
+    for name, value in PLAIN_FILES.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def stream_ingest_clean(sdf: DataFrame, out: str, checkpoint: str, cfg: Config = Config(),
                         docs_per_file: int | None = None, trigger: dict | None = None, profiles: dict | None = None):
     """Clean each arriving file and append it, exactly once, as Parquet; returns the running query."""
@@ -40,10 +61,11 @@ def stream_ingest_clean(sdf: DataFrame, out: str, checkpoint: str, cfg: Config =
 def periodic_flush(sdf: DataFrame, out: str, checkpoint: str, docs_per_file: int = 10, interval: str | None = None):
     """Arriving documents in files of a few rows, on an interval or until the input is used up."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        sdf.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", docs_per_file).trigger(**trigger).start(out)
-    )
+    with _plain_files(sdf.sparkSession):
+        return (
+            sdf.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
+            .option("maxRecordsPerFile", docs_per_file).trigger(**trigger).start(out)
+        )
 
 
 def stream_dedup(sdf: DataFrame, ts: str | None = None, watermark: str | None = None,
