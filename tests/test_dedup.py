@@ -254,3 +254,30 @@ def test_pairs_that_outlines_rule_out_are_not_made(spark, monkeypatch):
     assert sorted((r["ord"], r["kept_ord"]) for r in gone) == [(30 + i, i) for i in range(5)]
     met = [line for plan in plans for line in plan.splitlines() if "Join Inner" in line and "lead" in line and "<" in line]
     assert met and all("bit_count" in line for line in met)
+
+
+def test_outlines_of_long_sets_rule_out_unlike_ones(spark):
+    """512 bits are full of 1,500 hashes; longer bitmaps tell such sets apart, and lose no similar pair of other lengths."""
+    rng = random.Random(9)
+    fresh = lambda n: [rng.randrange(-2**62, 2**62) for _ in range(n)]
+    common, base = fresh(150), fresh(1040)
+    unlike = [common + fresh(1350) for _ in range(6)]
+    like = [base[:n] for n in (500, 520, 840, 1000, 1020, 1024, 1030, 1040)] + [base + fresh(100)]
+    sets = unlike + like
+    rows = spark.createDataFrame(list(enumerate(sets)), "ord int, feature array<bigint>").select("ord", sketch.outline("feature").alias("o"))
+    a, b = rows.toDF("a", "x"), rows.toDF("b", "y")
+    may = {(r["a"], r["b"]): r["may"] for r in a.crossJoin(b).select("a", "b", sketch.may_be_similar(F.col("x"), F.col("y"), 0.8).alias("may")).collect()}
+    for (i, j), held in may.items():
+        x, y = set(sets[i]), set(sets[j])
+        assert held or len(x & y) < 0.8 * len(x | y) - 1e-12
+    assert not any(may[i, j] for i in range(6) for j in range(6) if i != j)
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(300)}" for _ in range(30)] for _ in range(5)]
+    texts = [" ".join(w if rng.random() < 0.97 else f"x{rng.randrange(40)}" for w in rng.choice(base)) for _ in range(60)]
+    whole = sorted(map(tuple, dedup.near_dup_pairs(docs(spark, texts)).collect()))
+    monkeypatch.setattr(dedup, "SLICE_ROWS", 400)
+    monkeypatch.setattr(dedup, "SLICE_PAIRS", 20)
+    assert sorted(map(tuple, dedup.near_dup_pairs(docs(spark, texts)).collect())) == whole and whole

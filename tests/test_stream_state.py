@@ -1,4 +1,5 @@
 import datetime
+import os
 import random
 
 import pytest
@@ -36,6 +37,24 @@ def test_equals_the_batch_walk(spark, tmp_path, seed):
     assert sorted(r["id"] for r in seen.survivors("id string, content string").collect()) == wanted
 
 
+def test_pairs_of_a_batch_and_the_state_meet_with_outlines(spark, tmp_path, monkeypatch):
+    """Unlike documents of common buckets make no pair, a batch leaves no table but its own, and slices change nothing."""
+    pairs = []
+    monkeypatch.setattr(dedup, "SLICE_ROWS", 500)
+    monkeypatch.setattr(dedup, "_met", lambda *a, f=dedup._met: (r := f(*a), pairs.append(r[0].count()))[0])
+    shared = " ".join(f"same{i}" for i in range(60))  # Jaccard 0.6
+    texts = [shared + " " + " ".join(f"own{k}x{i}" for i in range(20)) for k in range(40)]
+    rows = [(f"{k:02d}", t) for k, t in enumerate(texts)] + [("90", texts[3] + " more"), ("91", texts[5])]
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    seen = SeenDocuments(spark, str(tmp_path / "seen"))
+    for n, part in enumerate((rows[:20], rows[20:])):
+        seen.take(spark.createDataFrame(part, "id string, content string"), n)
+    assert sorted(r["id"] for r in seen.survivors("id string").collect()) == [f"{k:02d}" for k in range(40)]
+    assert sum(pairs) < 20
+    assert set(os.listdir(folder)) == before
+
+
 def test_forgets_after_its_time(spark, tmp_path):
     seen = SeenDocuments(spark, str(tmp_path / "seen"), ts="at", ttl=60)
     text = " ".join(f"w{i}" for i in range(40))

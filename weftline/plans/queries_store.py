@@ -16,7 +16,7 @@ from weftline.plans.catalog import ORACLES, query
 from weftline.plans.queries_corpus import SHARDED, sharded
 from weftline.plans.queries_text import profiles
 from weftline.plans.tables import RUN_TS
-from weftline.session import scratch_path, staged
+from weftline.session import remove, scratch_path, staged
 from weftline.sources import readers, writers
 from weftline.streaming import ingest, state
 
@@ -498,6 +498,7 @@ def _(t):
     for part in (docs.where(F.col("doc_id") <= middle), docs.where(F.col("doc_id") > middle)):
         part.write.mode("append").parquet(arriving)
         seen.run(t.spark.readStream.schema(docs.schema).parquet(arriving), checkpoint).awaitTermination()
+        remove(t.spark, arriving)  # taken: the checkpoint knows its files
     return seen.survivors("doc_id bigint, text string").select("doc_id")
 
 

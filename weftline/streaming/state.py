@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from weftline.functions import sketch
 from weftline.operators import dedup
-from weftline.session import remove, staged
+from weftline.session import passing, remove, staged, swept
 from weftline.sources.writers import table_exists
 
 
@@ -78,33 +78,32 @@ class SeenDocuments:
         seen = F.col(self.ts).cast("timestamp") if self.ts else F.lit(None).cast("timestamp")
         words = batch.select(F.col(self.id_col).alias("ord"), seen.alias("seen"), sketch.word_set(F.coalesce(F.col(self.col), F.lit(""))).alias("feature"))
         signed = words.withColumn("sig", sketch.signature_of("feature", bands * values))
-        return staged(signed.select("ord", "seen", F.sha2(F.to_json("feature"), 256).alias("set_hash"),
-                                    sketch.band_keys("sig", bands, values).alias("keys"), "feature"), "arrived")
+        return signed.select("ord", "seen", F.sha2(F.to_json("feature"), 256).alias("set_hash"),
+                             sketch.band_keys("sig", bands, values).alias("keys"), "feature").repartition(
+            int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ord")
 
     def _known(self, arrived: DataFrame, state: DataFrame) -> DataFrame:
         """Ids of arrived documents that a survivor of earlier batches makes redundant; equal sets are settled by their hash."""
-        same = arrived.join(state.select("set_hash").distinct(), "set_hash", "left_semi").select("ord")
-        other = arrived.join(same, "ord", "left_anti")
-        keys = other.select("ord", F.explode("keys").alias("key"))
-        pairs = keys.join(state.select(F.col("ord").alias("lead"), F.explode("keys").alias("key")), "key").select("ord", "lead").distinct()
-        scored = pairs.join(other.select("ord", "feature"), "ord").join(
-            state.select(F.col("ord").alias("lead"), F.col("feature").alias("held")), "lead")
-        return same.union(scored.where(dedup.jaccard(F.col("feature"), F.col("held")) >= self.threshold - 1e-12).select("ord")).distinct()
+        same = staged(arrived.join(state.select("set_hash").distinct(), "set_hash", "left_semi").select("ord"), "same")
+        return same.union(dedup.similar_to(arrived, state, same, self.threshold)).distinct()
 
     def take(self, batch: DataFrame, number: int) -> None:
         """One micro-batch: survivors go to documents/batch=n and, as state, to leaders/batch=n."""
-        worded = self._described(batch)
-        arrived = worded.where(F.size("feature") > 0)
-        newest = worded.agg(F.max("seen")).first()[0]
-        held = read_batches(self.spark, self._leaders, self._schema, number).agg(F.max("seen")).first()[0]
-        newest = max((t for t in (newest, held) if t is not None), default=None)
-        gone = staged(self._known(arrived, self.state(number, newest)), "known")
-        left = staged(arrived.join(gone, "ord", "left_anti"), "left")
-        within = dedup.near_dup_sets(left, self.threshold).select(F.col("b").alias("ord"))
-        dropped = staged(gone.union(within), "dropped")
-        left.join(dropped, "ord", "left_anti").write.mode("overwrite").parquet(f"{self._leaders}/batch={number}")
-        batch.join(dropped.withColumnRenamed("ord", self.id_col), self.id_col, "left_anti").write.mode("overwrite").parquet(
-            f"{self.path}/documents/batch={number}")
+        spark = batch.sparkSession
+        with passing(spark), swept(spark):
+            with dedup.by_ord(self._described(batch)) as worded:
+                arrived = worded.where(F.size("feature") > 0)
+                newest = worded.agg(F.max("seen")).first()[0]
+                held = read_batches(self.spark, self._leaders, self._schema, number).agg(F.max("seen")).first()[0]
+                newest = max((t for t in (newest, held) if t is not None), default=None)
+                state = self.state(number, newest)
+                gone = staged(arrived.select("ord").limit(0) if state.isEmpty() else self._known(arrived, state), "known")
+                left = arrived.join(gone, "ord", "left_anti")
+                within = dedup.near_dup_sets(left, worded, self.threshold).select(F.col("b").alias("ord"))
+                dropped = staged(gone.union(within), "dropped")
+                left.join(dropped, "ord", "left_anti").write.mode("overwrite").parquet(f"{self._leaders}/batch={number}")
+            batch.join(dropped.withColumnRenamed("ord", self.id_col), self.id_col, "left_anti").write.mode("overwrite").parquet(
+                f"{self.path}/documents/batch={number}")
         if self.ttl is not None and newest is not None:
             self._forget(newest, number)
 
