@@ -281,3 +281,13 @@ def test_slices_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(dedup, "SLICE_ROWS", 400)
     monkeypatch.setattr(dedup, "SLICE_PAIRS", 20)
     assert sorted(map(tuple, dedup.near_dup_pairs(docs(spark, texts)).collect())) == whole and whole
+
+
+def test_small_band_buckets_are_not_split(spark, monkeypatch):
+    """Splitting a row's buckets by its words makes many times as many rows; below MOST_UNSPLIT outlines are compared instead."""
+    sizes, shared_only = [], dedup.shared_only
+    monkeypatch.setattr(dedup, "shared_only", lambda m: sizes.append(m.count()) or shared_only(m))
+    shared = " ".join(f"same{i}" for i in range(60))
+    texts = [shared + " " + " ".join(f"own{rng}x{i}" for i in range(20)) for rng in range(40)]
+    assert dedup.near_dup_pairs(docs(spark, texts)).collect() == []
+    assert max(sizes) <= 40 * 32 and sizes == sorted(sizes, reverse=True)
