@@ -221,3 +221,19 @@ def test_shard_corpus(spark):
 def test_filter_rate_has_a_zero_guard(spark):
     rows = spark.createDataFrame([(0, 0), (3, 2)], "raw int, kept int").select(stats.filter_rate("raw", "kept").alias("r")).collect()
     assert [r["r"] for r in rows] == [None, 33.3]
+
+
+def test_texts_are_scored_once(spark):
+    """The counts behind the score stand once in the plan, however often reason and score are used."""
+    from weftline.functions import text as T
+    from weftline.operators import filters
+    from weftline.operators.language import default_profiles, load_profiles
+
+    words = "the of and to in is that it was for on are with as his they at be this from have or by one had not but what all were when".split()
+    text = ". ".join(" ".join(words[i:] + words[:i]).capitalize() for i in range(8)) + "."
+    raw = spark.createDataFrame([("a", text), ("b", "short"), ("c", None)], "id string, content string")
+    judged = filters.annotate_reason(raw, load_profiles(default_profiles(spark)))
+    todo = F.when(F.col("reason").isNull(), F.col("content"))
+    used = judged.select("id", "reason", "quality_score", T.content_hash(todo).alias("hash"), F.length(todo).alias("n"))
+    assert used._jdf.queryExecution().optimizedPlan().toString().count(T.VOWELS) == 1
+    assert {r["id"]: (r["reason"], r["hash"] is None) for r in used.collect()} == {"a": (None, False), "b": ("too_short", True), "c": ("empty", True)}
